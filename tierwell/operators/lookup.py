@@ -14,15 +14,35 @@ from pyspark.sql import DataFrame, functions as F
 DIM_BROADCAST_MAX_ROWS = 1_000_000
 
 
+_BOUND = "_tierwell_max_rows"
+
+
+def with_row_bound(df: DataFrame, n: int | None) -> DataFrame:
+    """Remember a proven upper bound of ``df``'s row count (None = unknown/large)."""
+    setattr(df, _BOUND, n)
+    return df
+
+
+def known_row_bound(df: DataFrame):
+    return getattr(df, _BOUND, "unknown")
+
+
 def row_count_at_most(df: DataFrame, max_rows: int) -> int | None:
-    """Row count if it is <= ``max_rows``, else None (reads <= max_rows+1 rows)."""
+    """Row count if it is <= ``max_rows``, else None (reads <= max_rows+1 rows).
+
+    A bound recorded with :func:`with_row_bound` is used instead of counting.
+    """
+    known = known_row_bound(df)
+    if known != "unknown" and (known is None or known <= max_rows):
+        return known
     n = df.limit(max_rows + 1).count()
     return n if n <= max_rows else None
 
 
 def bounded(df: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
     """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) is not None else df
+    n = row_count_at_most(df, max_rows)
+    return with_row_bound(F.broadcast(df), n) if n is not None else df
 
 
 def dim_pairs(dim: DataFrame, key: str, value: str = "id", reduce_max: bool = False,
@@ -36,6 +56,10 @@ def dim_pairs(dim: DataFrame, key: str, value: str = "id", reduce_max: bool = Fa
     d = dim.select(F.col(key).alias("_k"), F.col(value).alias("_v")).filter(F.col("_k").isNotNull())
     if reduce_max:
         d = d.groupBy("_k").agg(F.max("_v").alias("_v"))
+    # projection, filter and grouping never add rows: the dimension's bound holds
+    known = known_row_bound(dim)
+    if known != "unknown":
+        with_row_bound(d, known)
     return bounded(d, max_rows)
 
 

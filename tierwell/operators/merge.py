@@ -74,25 +74,31 @@ def one_per_key(src: DataFrame, keys) -> DataFrame:
             .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest]))
 
 
-def _new_rows(dst: DataFrame, src: DataFrame, keys, id_col, order_cols, bounded):
+def _new_rows(dst: DataFrame, src: DataFrame, keys, id_col, order_cols, bounded, start):
     new = src.join(dst.select(*keys), list(keys), "left_anti")
     if id_col is None:
         return new
-    start = max_id(dst, id_col)
+    start = max_id(dst, id_col) if start is None else start
     return assign_ids(new, order_cols or keys, start, id_col, bounded)
 
 
 def insert_new(dst: DataFrame, src: DataFrame, keys, id_col: str | None = "id",
-               order_cols=None, bounded: bool = False, src_unique: bool = False) -> DataFrame:
-    """M2: append source rows whose key is not in ``dst``."""
+               order_cols=None, bounded: bool = False, src_unique: bool = False,
+               start: int | None = None) -> DataFrame:
+    """M2: append source rows whose key is not in ``dst``.
+
+    ``start`` is the current maximum id when the caller knows it (0 for an
+    empty table); otherwise it is read from ``dst``.
+    """
     keys = list(keys)
     src = src if src_unique else one_per_key(src, keys)
-    new = _new_rows(dst, src, keys, id_col, order_cols, bounded)
+    new = _new_rows(dst, src, keys, id_col, order_cols, bounded, start)
     return dst.unionByName(new.select(*dst.columns))
 
 
 def upsert(dst: DataFrame, src: DataFrame, keys, update_cols, id_col: str | None = "id",
-           order_cols=None, bounded: bool = False, src_unique: bool = False) -> DataFrame:
+           order_cols=None, bounded: bool = False, src_unique: bool = False,
+           start: int | None = None) -> DataFrame:
     """M3: update ``update_cols`` of matched keys, append unmatched source rows."""
     keys = list(keys)
     update_cols = [c for c in update_cols if c not in keys]
@@ -104,5 +110,5 @@ def upsert(dst: DataFrame, src: DataFrame, keys, update_cols, id_col: str | None
         if c in update_cols else F.col(c)
         for c in dst.columns
     ])
-    new = _new_rows(dst, src, keys, id_col, order_cols, bounded)
+    new = _new_rows(dst, src, keys, id_col, order_cols, bounded, start)
     return kept.unionByName(new.select(*dst.columns))

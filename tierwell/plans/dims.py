@@ -75,24 +75,75 @@ def _values(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def enum_dim(name: str, ods: dict[str, DataFrame], current: DataFrame | None = None) -> DataFrame:
+def _start(current: DataFrame | None):
+    # empty target: ids start at 0 without reading it
+    return 0 if current is None else None
+
+
+# string columns whose distinct values feed dimensions, per ODS table
+VALUE_COLUMNS: dict[str, list[str]] = {}
+for _name, (_v, _sources) in ENUMS.items():
+    for _e, _c in _sources:
+        VALUE_COLUMNS.setdefault(_e, []).append(_c)
+VALUE_COLUMNS["request"] += ["commission_currency", "reporting_currency", "event_country",
+                             "event_city"]
+for _e, _cols in {"case": ["initial_agent", "responsible_agent"],
+                  "request": ["assigned_to_agent", "issue_added_by_user_code"],
+                  "address": ["added_by", "changed_by"]}.items():
+    VALUE_COLUMNS[_e] += _cols
+
+
+class ColumnValues:
+    """Distinct non-NULL values of many string columns, one scan per table.
+
+    ``table(entity)`` is a small (column, value) table built with a single
+    aggregation over the ODS snapshot (map-side partial distinct, then one
+    shuffle of the distinct pairs); every enumeration, the agents, currencies,
+    countries and cities read it instead of rescanning the ODS per dimension.
+    """
+
+    def __init__(self, ods: dict[str, DataFrame], columns=None, keep=None):
+        self._ods = ods
+        self._columns = columns or VALUE_COLUMNS
+        self._keep = keep or (lambda df: df)
+        self._tables: dict[str, DataFrame] = {}
+
+    def table(self, entity: str) -> DataFrame:
+        if entity not in self._tables:
+            cols = list(dict.fromkeys(self._columns[entity]))
+            pairs = F.explode(F.array(*[
+                F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
+                for c in cols]))
+            t = (self._ods[entity].select(pairs.alias("_p")).select("_p.*")
+                 .filter(F.col("value").isNotNull()).distinct())
+            self._tables[entity] = self._keep(t)
+        return self._tables[entity]
+
+    def of(self, entity: str, *cols: str) -> DataFrame:
+        """Distinct non-NULL values of the union of ``cols`` as column ``value``."""
+        t = self.table(entity)
+        return t.filter(F.col("column").isin(*cols)).select("value").distinct()
+
+    @property
+    def spark(self) -> SparkSession:
+        return next(iter(self._ods.values())).sparkSession
+
+
+def _as_values(src) -> ColumnValues:
+    return src if isinstance(src, ColumnValues) else ColumnValues(src)
+
+
+def enum_dim(name: str, values, current: DataFrame | None = None) -> DataFrame:
     """Distinct non-NULL values, insert if unseen.
 
-    Several source columns of one table are read in one scan (explode of an
-    array), and ``distinct`` aggregates map-side before its shuffle.
+    ``values`` is a :class:`ColumnValues` (or a dict of ODS frames).
     """
+    values = _as_values(values)
     value, sources = ENUMS[name]
-    spark = next(iter(ods.values())).sparkSession
-    by_entity: dict[str, list[str]] = {}
-    for entity, col in sources:
-        by_entity.setdefault(entity, []).append(col)
-    frames = []
-    for entity, cols in by_entity.items():
-        v = F.col(cols[0]) if len(cols) == 1 else F.explode(F.array(*cols))
-        frames.append(ods[entity].select(v.alias(value)))
-    vals = _values(frames).filter(F.col(value).isNotNull()).distinct()
-    return merge.insert_new(_state(spark, name, current), vals, [value], bounded=True,
-                            src_unique=True)
+    frames = [values.of(entity, col) for entity, col in sources]
+    vals = _values(frames).distinct().select(F.col("value").alias(value))
+    return merge.insert_new(_state(values.spark, name, current), vals, [value], bounded=True,
+                            src_unique=True, start=_start(current))
 
 
 def client_dim(ods_case: DataFrame, current: DataFrame | None = None) -> DataFrame:
@@ -113,7 +164,8 @@ def client_dim(ods_case: DataFrame, current: DataFrame | None = None) -> DataFra
         .otherwise(1).alias("is_active"),
     )
     return merge.upsert(_state(spark, "spr_client", current), src, ["client"],
-                        ["client_name", "is_util", "is_active"], bounded=True, src_unique=True)
+                        ["client_name", "is_util", "is_active"], bounded=True, src_unique=True,
+                        start=_start(current))
 
 
 AGENT_COLUMNS = {"case": ["initial_agent", "responsible_agent"],
@@ -121,15 +173,14 @@ AGENT_COLUMNS = {"case": ["initial_agent", "responsible_agent"],
                  "address": ["added_by", "changed_by"]}
 
 
-def agent_dim(ods: dict[str, DataFrame], current: DataFrame | None = None) -> DataFrame:
+def agent_dim(values, current: DataFrame | None = None) -> DataFrame:
     """Every account named in any role column, with its derived full name."""
-    spark = ods["case"].sparkSession
-    accounts = _values([ods[e].select(F.explode(F.array(*cols)).alias("username"))
-                        for e, cols in AGENT_COLUMNS.items()])
-    src = (accounts.filter(F.col("username").isNotNull()).distinct()
+    values = _as_values(values)
+    accounts = _values([values.of(e, *cols) for e, cols in AGENT_COLUMNS.items()])
+    src = (accounts.distinct().select(F.col("value").alias("username"))
            .withColumn("fullname", account_fullname("username")))
-    return merge.upsert(_state(spark, "spr_agent", current), src, ["username"], ["fullname"],
-                        bounded=True, src_unique=True)
+    return merge.upsert(_state(values.spark, "spr_agent", current), src, ["username"],
+                        ["fullname"], bounded=True, src_unique=True, start=_start(current))
 
 
 CUSTOMER_UPDATE = ["spr_customer_type_id", "last_name", "first_name", "middle_name",
@@ -167,7 +218,7 @@ def customer_dim(ods_address: DataFrame, spr_client: DataFrame, spr_customer_typ
         F.col("last_contact_dt").alias("last_contacted_dt"),
     )
     return merge.upsert(_state(spark, "spr_customer", current), src,
-                        ["spr_client_id", "address_id"], CUSTOMER_UPDATE)
+                        ["spr_client_id", "address_id"], CUSTOMER_UPDATE, start=_start(current))
 
 
 def customer_addresses(spr_customer: DataFrame, spr_client: DataFrame) -> DataFrame:
@@ -196,7 +247,8 @@ def phone_dim(ods_address: DataFrame, spr_customer: DataFrame, spr_client: DataF
            .filter(F.col("phone").isNotNull() & (F.col("phone") != specs.TBA))
            .select("type", "phone", "spr_customer_id").distinct())
     return merge.insert_new(_state(spark, "spr_phone", current), src,
-                            ["type", "phone", "spr_customer_id"], src_unique=True)
+                            ["type", "phone", "spr_customer_id"], src_unique=True,
+                            start=_start(current))
 
 
 def email_dim(ods_address: DataFrame, spr_customer: DataFrame, spr_client: DataFrame,
@@ -213,16 +265,18 @@ def email_dim(ods_address: DataFrame, spr_customer: DataFrame, spr_client: DataF
            .filter(F.col("email").isNotNull() & (F.col("email") != specs.TBA))
            .select("spr_customer_id", "type", "email").distinct())
     return merge.insert_new(_state(spark, "spr_email", current), src,
-                            ["type", "email", "spr_customer_id"], src_unique=True)
+                            ["type", "email", "spr_customer_id"], src_unique=True,
+                            start=_start(current))
 
 
-def currency_dim(stg_currency: DataFrame, ods_request: DataFrame,
+def currency_dim(stg_currency: DataFrame, values,
                  current: DataFrame | None = None) -> DataFrame:
     """Reference list plus the fixed extra code, then codes seen in requests.
 
     A code listed twice keeps its smallest (English, Russian) name pair.
     """
-    spark = ods_request.sparkSession
+    values = _as_values(values)
+    spark = values.spark
     code, eng, rus = specs.EXTRA_CURRENCY
     listed = (stg_currency.select("code", F.col("name_en").alias("eng_name"),
                                   F.col("name_ru").alias("rus_name"))
@@ -232,44 +286,44 @@ def currency_dim(stg_currency: DataFrame, ods_request: DataFrame,
     listed = (listed.groupBy("code").agg(F.min(F.struct("eng_name", "rus_name")).alias("_n"))
               .select("code", "_n.eng_name", "_n.rus_name"))
     dim = merge.insert_new(_state(spark, "spr_currency", current), listed, ["code"],
-                           bounded=True, src_unique=True)
-    seen = (ods_request.select(F.explode(F.array("commission_currency", "reporting_currency"))
-                               .alias("code"))
-            .filter(F.col("code").isNotNull()).distinct()
-            .select("code", F.lit(None).cast("string").alias("eng_name"),
+                           bounded=True, src_unique=True, start=_start(current))
+    seen = (values.of("request", "commission_currency", "reporting_currency")
+            .select(F.col("value").alias("code"), F.lit(None).cast("string").alias("eng_name"),
                     F.lit(None).cast("string").alias("rus_name")))
     return merge.insert_new(dim, seen, ["code"], bounded=True, src_unique=True)
 
 
-def country_dim(ods_request: DataFrame, current: DataFrame | None = None) -> DataFrame:
+def country_dim(values, current: DataFrame | None = None) -> DataFrame:
     """Event countries, then the fixed 'OTH' and every city prefix."""
-    spark = ods_request.sparkSession
+    values = _as_values(values)
+    spark = values.spark
     none = F.lit(None).cast("string")
-    first = (ods_request.select(F.col("event_country").alias("code"))
-             .filter(F.col("code").isNotNull()).distinct()
-             .select("code", none.alias("name_eng"), none.alias("name_rus")))
+    first = (values.of("request", "event_country")
+             .select(F.col("value").alias("code"), none.alias("name_eng"), none.alias("name_rus")))
     dim = merge.insert_new(_state(spark, "spr_country", current), first, ["code"],
-                           bounded=True, src_unique=True)
-    prefixes = (ods_request.filter(F.col("event_city").isNotNull())
-                .select(F.col("event_city").substr(1, 3).alias("code"))
+                           bounded=True, src_unique=True, start=_start(current))
+    prefixes = (values.of("request", "event_city")
+                .select(F.col("value").substr(1, 3).alias("code"))
                 .unionByName(spark.range(1).select(F.lit(specs.OTHER_COUNTRY).alias("code")))
                 .distinct()
                 .select("code", none.alias("name_eng"), none.alias("name_rus")))
     return merge.insert_new(dim, prefixes, ["code"], bounded=True, src_unique=True)
 
 
-def city_dim(ods_request: DataFrame, spr_country: DataFrame,
+def city_dim(values, spr_country: DataFrame,
              current: DataFrame | None = None) -> DataFrame:
     """(city, country) split of ``event_city`` with the 'OTHER' rule."""
     from ..operators.lookup import dim_pairs
-    spark = ods_request.sparkSession
-    cities = (ods_request.filter(F.col("event_city").isNotNull())
-              .select(K.city_country("event_city").alias("country"),
-                      K.city_name("event_city").alias("name_eng"))
+    values = _as_values(values)
+    spark = values.spark
+    cities = (values.of("request", "event_city")
+              .select(K.city_country("value").alias("country"),
+                      K.city_name("value").alias("name_eng"))
               .distinct())
     country = dim_pairs(spr_country, "code")
     src = (cities.join(country, cities["country"] == country["_k"], "inner")
            .select("name_eng", F.lit(None).cast("string").alias("name_rus"),
                    F.col("_v").alias("spr_country_id")))
     return merge.insert_new(_state(spark, "spr_city", current), src,
-                            ["name_eng", "spr_country_id"], bounded=True, src_unique=True)
+                            ["name_eng", "spr_country_id"], bounded=True, src_unique=True,
+                            start=_start(current))

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import specs
 from ..operators import gate, history
+from ..operators.lookup import with_row_bound
 from ..operators.spine import date_spine, plan_by_day
 from ..session import materialize
 from ..sources import fixtures as fx
@@ -41,6 +42,11 @@ class Warehouse:
     def _keep(self, df: DataFrame) -> DataFrame:
         return materialize(df) if self._checkpoint else df
 
+    def _keep_small(self, df: DataFrame) -> DataFrame:
+        """Materialise a dimension and record its row count (the broadcast check)."""
+        df = self._keep(df)
+        return with_row_bound(df, df.count())
+
     # --- staging ---------------------------------------------------------
     @cached_property
     def stg_case(self) -> DataFrame:
@@ -77,7 +83,15 @@ class Warehouse:
 
     @cached_property
     def ods_case(self) -> DataFrame:
-        return self._keep(self.ods_case_batches(3))
+        # same result as ods_case_batches(3) (tests check it): dedupe and flag
+        # depend only on the union of the stamped batches, so one pass suffices
+        stamped = None
+        for i, stg in enumerate([self.stg_case, self.stg_case_edited, self.stg_case], start=1):
+            part = history.stamp(gate.valid_rows(stg, specs.CASE.required), specs.CASE,
+                                 fx.BATCH_TS[i])
+            stamped = part if stamped is None else stamped.unionByName(part)
+        return self._keep(history.merge_history(history.empty_ods(self.spark, specs.CASE),
+                                                stamped, specs.CASE))
 
     @cached_property
     def ods_request(self) -> DataFrame:
@@ -98,6 +112,10 @@ class Warehouse:
         return {"case": self.ods_case, "request": self.ods_request, "address": self.ods_address}
 
     # --- dimensions -------------------------------------------------------
+    @cached_property
+    def values(self) -> D.ColumnValues:
+        return D.ColumnValues(self.ods, keep=self._keep)
+
     @cached_property
     def dims(self) -> dict[str, DataFrame]:
         return _LazyDims(self)
@@ -151,14 +169,13 @@ class _LazyDims(dict):
         self._wh = wh
 
     def __missing__(self, name: str) -> DataFrame:
-        wh, ods = self._wh, self._wh.ods
+        wh = self._wh
         if name in D.ENUMS:
-            entity = D.ENUMS[name][1][0][0]
-            df = D.enum_dim(name, {entity: ods[entity]})
+            df = D.enum_dim(name, wh.values)
         elif name == "spr_client":
             df = D.client_dim(wh.ods_case)
         elif name == "spr_agent":
-            df = D.agent_dim(ods)
+            df = D.agent_dim(wh.values)
         elif name == "spr_customer":
             df = D.customer_dim(wh.ods_address, self["spr_client"], self["spr_customer_type"],
                                 self["spr_agent"])
@@ -167,13 +184,13 @@ class _LazyDims(dict):
         elif name == "spr_email":
             df = D.email_dim(wh.ods_address, self["spr_customer"], self["spr_client"])
         elif name == "spr_currency":
-            df = D.currency_dim(wh.stg_currency, wh.ods_request)
+            df = D.currency_dim(wh.stg_currency, wh.values)
         elif name == "spr_country":
-            df = D.country_dim(wh.ods_request)
+            df = D.country_dim(wh.values)
         elif name == "spr_city":
-            df = D.city_dim(wh.ods_request, self["spr_country"])
+            df = D.city_dim(wh.values, self["spr_country"])
         else:
             raise KeyError(name)
-        df = wh._keep(df)
+        df = wh._keep_small(df)
         self[name] = df
         return df
