@@ -146,6 +146,40 @@ def enum_dim(name: str, values, current: DataFrame | None = None) -> DataFrame:
                             src_unique=True, start=_start(current))
 
 
+def enum_dims(values, current: dict[str, DataFrame] | None = None) -> DataFrame:
+    """All enumeration dimensions in one plan, as one (dim, id, value) table.
+
+    Same result per dimension as :func:`enum_dim`: values not yet present get
+    ids after that dimension's current maximum, in value order. The window is
+    partitioned by dimension name (a handful of partitions, each holding one
+    enumeration's distinct values), and the per-dimension maxima are a table
+    with one row per dimension (the only broadcast).
+    """
+    from pyspark.sql import Window
+    values = _as_values(values)
+    frames = [values.table(entity).filter(F.col("column") == col)
+              .select(F.lit(name).alias("dim"), "value")
+              for name, (_, sources) in ENUMS.items() for entity, col in sources]
+    vals = _values(frames).distinct()
+    order = Window.partitionBy("dim").orderBy("value")
+    if not current:
+        return vals.select("dim", F.row_number().over(order).cast("long").alias("id"), "value")
+    cur = _values([df.select(F.lit(n).alias("dim"), "id", F.col(ENUMS[n][0]).alias("value"))
+                   for n, df in current.items()])
+    new = vals.join(cur.select("dim", "value"), ["dim", "value"], "left_anti")
+    starts = cur.groupBy("dim").agg(F.max("id").alias("_start"))
+    new = (new.join(F.broadcast(starts), "dim", "left")
+           .select("dim", (F.coalesce(F.col("_start"), F.lit(0)) + F.row_number().over(order))
+                   .cast("long").alias("id"), "value"))
+    return cur.unionByName(new)
+
+
+def split_enum(all_enums: DataFrame, name: str) -> DataFrame:
+    """One enumeration dimension out of the joint table of :func:`enum_dims`."""
+    return (all_enums.filter(F.col("dim") == name)
+            .select("id", F.col("value").alias(ENUMS[name][0])))
+
+
 def client_dim(ods_case: DataFrame, current: DataFrame | None = None) -> DataFrame:
     """One row per client code from its newest case row (any version)."""
     spark = ods_case.sparkSession

@@ -116,6 +116,15 @@ class Warehouse:
     def values(self) -> D.ColumnValues:
         return D.ColumnValues(self.ods, keep=self._keep)
 
+    @cached_property
+    def enums(self) -> DataFrame:
+        """All enumeration dimensions, built together (dim, id, value)."""
+        return self._keep(D.enum_dims(self.values))
+
+    @cached_property
+    def enum_rows(self) -> int:
+        return self.enums.count()
+
     @cached_property
     def dims(self) -> dict[str, DataFrame]:
         return _LazyDims(self)
@@ -171,7 +180,9 @@ class _LazyDims(dict):
     def __missing__(self, name: str) -> DataFrame:
         wh = self._wh
         if name in D.ENUMS:
-            df = D.enum_dim(name, wh.values)
+            df = D.split_enum(wh.enums, name)
+            self[name] = with_row_bound(df, wh.enum_rows)
+            return df
         elif name == "spr_client":
             df = D.client_dim(wh.ods_case)
         elif name == "spr_agent":

@@ -65,8 +65,15 @@ def materialize(df: DataFrame) -> DataFrame:
     nondeterministic expression (partition-offset ids). Survives executor
     loss, unlike a local checkpoint or a cache.
     """
+    from pyspark import StorageLevel
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    # persisted for the duration of the write, so the plan runs once (the
+    # checkpoint file is written from the cached blocks, not by recomputing)
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
 
 
 def repo_root() -> str:
