@@ -63,6 +63,94 @@ def _prev_group_first(spark: SparkSession, sf_dir: str) -> DataFrame:
             .distinct())
 
 
+def _ods_case_sequential(spark, sf_dir):
+    return Warehouse(spark, sf_dir).ods_case_batches(3).select(*specs.CASE.ods_columns)
+
+
+def _ods_request_touched_only(spark, sf_dir):
+    from tierwell.operators import history
+    from tierwell.plans.warehouse import batch_clock
+    from tierwell.session import materialize
+    spec = specs.REQUEST
+    stg = fx.stg_request(spark, sf_dir)
+    valid = gate.valid_rows(stg, spec.required)
+    first = materialize(history.merge_history(
+        history.empty_ods(spark, spec),
+        history.stamp(valid.filter(F.col("batch") < 3), spec, batch_clock()), spec))
+    third = stg.filter(F.col("batch") == 3).drop("batch")
+    return history.load_history(first, third, spec, fx.BATCH_TS[3], touched_only=True)
+
+
+def _ods_address_2(spark, sf_dir):
+    from tierwell.operators import history
+    wh = Warehouse(spark, sf_dir)
+    return history.load_history(wh.ods_address, fx.stg_address(spark, sf_dir, 2), specs.ADDRESS,
+                                fx.BATCH_TS[2])
+
+
+def _upsert_update(spark, sf_dir):
+    # agents of the case table first, then every role column: new accounts get
+    # the next ids, existing ones keep theirs and have their name refreshed
+    from tierwell.session import materialize
+    wh = Warehouse(spark, sf_dir)
+    case_only = D.ColumnValues({"case": wh.ods_case}, columns={"case": D.AGENT_COLUMNS["case"]})
+    first = materialize(D.upsert_accounts(case_only.of("case", *D.AGENT_COLUMNS["case"]), None))
+    return D.agent_dim(wh.values, first)
+
+
+def _upsert_insert_only(spark, sf_dir):
+    from tierwell.session import materialize
+    wh = Warehouse(spark, sf_dir)
+    first = materialize(wh.dims["spr_customer"])
+    ods2 = materialize(_ods_address_2(spark, sf_dir))
+    agents = D.agent_dim(D.ColumnValues({**wh.ods, "address": ods2}))
+    return D.customer_dim(ods2, wh.dims["spr_client"], wh.dims["spr_customer_type"], agents, first)
+
+
+def _ingest_union(spark, sf_dir):
+    from tierwell.sources.ingest import read_files
+    from tierwell.sources.store import scratch_dir
+    folder = scratch_dir(spark, "ingest")
+    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    head = {"n_nationkey": "Nation Key", "n_name": "Nation/Name", "n_regionkey": "Region Key"}
+    west = nation.filter(F.col("n_regionkey") < 2).select(
+        *[F.col(c).alias(head[c]) for c in ("n_nationkey", "n_name")])
+    east = nation.filter(F.col("n_regionkey") >= 2).select(
+        *[F.col(c).alias(head[c]) for c in ("n_nationkey", "n_name", "n_regionkey")])
+    west.write.option("header", "true").csv(f"{folder}/file1")
+    east.write.option("header", "true").csv(f"{folder}/file2")
+    return read_files(spark, f"{folder}/*/*.csv", "csv").select(
+        "nation_key", "nation_name", "region_key")
+
+
+def _strip_citations(spark, sf_dir):
+    from tierwell.functions.text import strip_citations
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    marked = F.concat(F.col("text"), F.lit(" ["), F.col("doc_id").cast("string"), F.lit("]"))
+    return docs.select("doc_id", strip_citations(marked).alias("text"))
+
+
+def _html_tables(spark, sf_dir):
+    from tierwell.sources.html_tables import extract_tables
+    t = extract_tables(fx.nation_pages(spark, sf_dir))
+    return t.select("page_id", "table_no", "row_no", "is_header",
+                    F.array_join("cells", "|").alias("cells"))
+
+
+def _reference_list(spark, sf_dir):
+    from tierwell.sources.html_tables import extract_tables, reference_list
+    return reference_list(extract_tables(fx.nation_pages(spark, sf_dir)))
+
+
+COPY_TABLES = ["region", "nation", "customer", "orders", "lineitem"]
+
+
+def _table_copy_counts(spark, sf_dir):
+    from tierwell.sources.copy import copy_tables
+    from tierwell.sources.store import scratch_dir
+    return copy_tables(spark, COPY_TABLES, sf_dir, scratch_dir(spark, "copy"))
+
+
 _stg_case = lambda s, d: fx.stg_case(s, d)
 _stg_request = lambda s, d: fx.stg_request(s, d)
 _stg_address = lambda s, d: fx.stg_address(s, d)
@@ -82,6 +170,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ods_case": lambda s, d: Warehouse(s, d).ods_case.select(*C.ods_columns),
         "ods_request": lambda s, d: Warehouse(s, d).ods_request.select(*R.ods_columns),
         "ods_address": lambda s, d: Warehouse(s, d).ods_address.select(*A.ods_columns),
+        "ods_case_sequential": _ods_case_sequential,
+        "ods_request_touched_only": _ods_request_touched_only,
+        "ods_address_two_batches": lambda s, d: _ods_address_2(s, d).select(*A.ods_columns),
+        "upsert_update": _upsert_update,
+        "upsert_insert_only_column": _upsert_insert_only,
         # Dimensions (M2 M3 M7)
         "dim_client": _dim("spr_client"),
         "dim_agent": _dim("spr_agent"),
@@ -107,6 +200,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "client_summary": lambda s, d: Warehouse(s, d).client_summary(),
         "daily_stats": lambda s, d: Warehouse(s, d).daily_stats(),
         "plan_fact": lambda s, d: Warehouse(s, d).plan_fact(),
+        # Sources and sinks
+        "ingest_union": _ingest_union,
+        "strip_citations": _strip_citations,
+        "html_tables": _html_tables,
+        "reference_list": _reference_list,
+        "table_copy_counts": _table_copy_counts,
     }
     return q
 

@@ -211,9 +211,16 @@ def agent_dim(values, current: DataFrame | None = None) -> DataFrame:
     """Every account named in any role column, with its derived full name."""
     values = _as_values(values)
     accounts = _values([values.of(e, *cols) for e, cols in AGENT_COLUMNS.items()])
+    return upsert_accounts(accounts, current, values.spark)
+
+
+def upsert_accounts(accounts: DataFrame, current: DataFrame | None = None,
+                    spark: SparkSession | None = None) -> DataFrame:
+    """Upsert distinct account names (column ``value``) into the agent dimension."""
+    spark = spark or accounts.sparkSession
     src = (accounts.distinct().select(F.col("value").alias("username"))
            .withColumn("fullname", account_fullname("username")))
-    return merge.upsert(_state(values.spark, "spr_agent", current), src, ["username"],
+    return merge.upsert(_state(spark, "spr_agent", current), src, ["username"],
                         ["fullname"], bounded=True, src_unique=True, start=_start(current))
 
 

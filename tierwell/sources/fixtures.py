@@ -246,3 +246,31 @@ def stg_currency(spark: SparkSession) -> DataFrame:
 def currency_values_sql() -> str:
     rows = ", ".join("('%s', '%s', '%s')" % r for r in CURRENCY_ROWS)
     return f"select * from (values {rows}) t(code, name_ru, name_en)"
+
+
+def nation_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One HTML page per region built from ``nation`` (the driver pages have no tables).
+
+    Table 1: code and English name with a citation marker; table 2: code and
+    local name, plus one row without information. Rows follow the nation key.
+    """
+    from pyspark.sql import functions as F
+    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    code = F.concat(F.lit("N"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0"))
+    row1 = F.concat(F.lit("<tr><td>"), code, F.lit("</td><td>"), F.col("n_name"), F.lit(" ["),
+                    F.col("n_nationkey").cast("string"), F.lit("]</td></tr>"))
+    row2 = F.concat(F.lit("<tr><td>"), code, F.lit("</td><td>"), F.lower("n_name"),
+                    F.lit("</td></tr>"))
+    rows = nation.select(F.col("n_regionkey").alias("page_id"), "n_nationkey",
+                         row1.alias("r1"), row2.alias("r2"))
+    # one page is one document: its rows (nations of a region) are gathered by key order
+    pages = rows.groupBy("page_id").agg(F.array_sort(F.collect_list(
+        F.struct("n_nationkey", "r1", "r2"))).alias("rs"))
+    html = F.concat(
+        F.lit("<html><body><h1>Region "), F.col("page_id").cast("string"), F.lit("</h1>"),
+        F.lit("<table><tr><th>Code</th><th>Name</th></tr>"),
+        F.array_join(F.col("rs.r1"), ""), F.lit("</table><p>Notes &amp; more</p>"),
+        F.lit("<table><tr><th>Code</th><th>Local name</th></tr>"),
+        F.array_join(F.col("rs.r2"), ""), F.lit("<tr><td></td><td></td></tr></table>"),
+        F.lit("</body></html>"))
+    return pages.select(F.col("page_id").cast("long").alias("page_id"), html.alias("html"))
