@@ -124,13 +124,16 @@ def read_xlsx(spark: SparkSession, path: str, sheet: int = 0) -> DataFrame:
     """Workbooks matching ``path`` stacked by header (text cells)."""
     files = spark.read.format("binaryFile").load(path).select("path", "content")
 
+    sep = "\x1f"   # unit separator: never part of a header
+
     def headers(batches):
         for pdf in batches:
             yield pd.DataFrame({"header": [
-                [normalize_header(h) for h in (xlsx_rows(bytes(c), sheet) or [[]])[0]]
+                sep.join(normalize_header(h) for h in (xlsx_rows(bytes(c), sheet) or [[]])[0])
                 for c in pdf["content"]]})
-    heads = files.mapInPandas(headers, "header array<string>").distinct().collect()
-    columns = list(dict.fromkeys(c for r in heads for c in r["header"]))
+    # one small row per distinct header (metadata only)
+    heads = files.mapInPandas(headers, "header string").distinct().collect()
+    columns = list(dict.fromkeys(c for r in heads for c in r["header"].split(sep) if c))
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
     def parse(batches):
@@ -141,7 +144,8 @@ def read_xlsx(spark: SparkSession, path: str, sheet: int = 0) -> DataFrame:
                     continue
                 head = [normalize_header(h) for h in rows[0]]
                 body = [dict(zip(head, r)) for r in rows[1:]]
-                yield pd.DataFrame(body, columns=columns)
+                yield pd.DataFrame({c: pd.Series([r.get(c) for r in body], dtype="object")
+                                    for c in columns})
     return files.mapInPandas(parse, schema)
 
 
