@@ -35,14 +35,23 @@ def max_id(dst: DataFrame, id_col: str) -> int:
     return int(value or 0)
 
 
+# new members numbered in one window when proven to be at most this many
+SMALL_BATCH_MAX_ROWS = 1_000_000
+
+
 def assign_ids(df: DataFrame, order_cols, start: int = 0, id_col: str = "id",
-               bounded: bool = False) -> DataFrame:
+               bounded: bool | None = None) -> DataFrame:
     """Add ``id_col`` = start + 1, start + 2, ... in ascending ``order_cols`` order.
 
     ``order_cols`` must identify a row (natural key) for the numbering to be
-    deterministic.
+    deterministic. ``bounded=None`` decides from a bounded row count: a batch
+    of new members proven small is numbered by one window, anything larger by
+    the distributed partition-offset numbering.
     """
     order_cols = list(order_cols)
+    if bounded is None:
+        from .lookup import row_count_at_most
+        bounded = row_count_at_most(df, SMALL_BATCH_MAX_ROWS) is not None
     if bounded:
         w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
         return df.withColumn(id_col, (F.row_number().over(w) + F.lit(start)).cast("long"))
@@ -83,7 +92,7 @@ def _new_rows(dst: DataFrame, src: DataFrame, keys, id_col, order_cols, bounded,
 
 
 def insert_new(dst: DataFrame, src: DataFrame, keys, id_col: str | None = "id",
-               order_cols=None, bounded: bool = False, src_unique: bool = False,
+               order_cols=None, bounded: bool | None = None, src_unique: bool = False,
                start: int | None = None) -> DataFrame:
     """M2: append source rows whose key is not in ``dst``.
 
@@ -97,7 +106,7 @@ def insert_new(dst: DataFrame, src: DataFrame, keys, id_col: str | None = "id",
 
 
 def upsert(dst: DataFrame, src: DataFrame, keys, update_cols, id_col: str | None = "id",
-           order_cols=None, bounded: bool = False, src_unique: bool = False,
+           order_cols=None, bounded: bool | None = None, src_unique: bool = False,
            start: int | None = None) -> DataFrame:
     """M3: update ``update_cols`` of matched keys, append unmatched source rows."""
     keys = list(keys)

@@ -80,7 +80,9 @@ def daily_pivot(metrics: DataFrame, plan: DataFrame) -> DataFrame:
         F.sum("cm_rso_act").alias("total"),
         F.sum(F.col("cm_rso_act") + F.col("dp")).alias("total_with_dp"))
     totals = previous_value(totals, "client", "month", ["total", "total_with_dp"])
-    totals = bounded(totals.select(
+    # (client, month) rows: small, but counting it would recompute the whole
+    # chain; AQE turns this join into a broadcast from the measured size
+    totals = (totals.select(
         "client", "month", "total", "total_with_dp",
         F.col("total_prev").alias("prev_month_total"),
         F.col("total_with_dp_prev").alias("prev_month_total_with_dp")))
