@@ -26,6 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..specs import EFFECTIVE_FROM, IS_ACTIVE, EntitySpec
+from ..session import empty_frame
 from . import gate
 from .lookup import bounded
 
@@ -38,7 +39,7 @@ def empty_ods(spark: SparkSession, spec: EntitySpec) -> DataFrame:
         schema = schema.add(name, T.StringType(), True)
     schema = (schema.add(EFFECTIVE_FROM, T.TimestampNTZType(), True)
               .add(IS_ACTIVE, T.IntegerType(), True))
-    return spark.createDataFrame([], schema)
+    return empty_frame(spark, schema)
 
 
 def _with_derived(df: DataFrame, spec: EntitySpec) -> DataFrame:
@@ -80,8 +81,11 @@ def flag_current(versions: DataFrame, spec: EntitySpec) -> DataFrame:
     The key columns are required by the gate, so they are never NULL here.
     """
     order = _flag_order(spec)
-    winners = versions.groupBy(spec.key).agg(F.max(order).alias("_w"))
-    return (versions.join(winners, spec.key, "left")
+    winners = (versions.groupBy(spec.key).agg(F.max(order).alias("_w"))
+               .withColumnRenamed(spec.key, "_wk"))
+    # null-safe key match: no inferred not-null filter on one branch, so both
+    # branches share the version-dedupe exchange (computed once, reused)
+    return (versions.join(winners, versions[spec.key].eqNullSafe(winners["_wk"]), "left")
             .withColumn(IS_ACTIVE, order.eqNullSafe(F.col("_w")).cast("int"))
             .select(*spec.ods_columns))
 

@@ -61,7 +61,8 @@ SCHEMAS.update({
 
 
 def empty(spark: SparkSession, name: str) -> DataFrame:
-    return spark.createDataFrame([], SCHEMAS[name])
+    from ..session import empty_frame
+    return empty_frame(spark, SCHEMAS[name])
 
 
 def _state(spark: SparkSession, name: str, current: DataFrame | None) -> DataFrame:

@@ -64,10 +64,6 @@ _RENAMES = {
 }
 
 
-def request_fact_schema(spark: SparkSession) -> T.StructType:
-    return request_fact_source_schema(spark)
-
-
 def request_fact_source_schema(spark: SparkSession) -> T.StructType:
     types = {f.name: f.dataType for f in specs.REQUEST_SCHEMA.fields}
     back = {v: k for k, v in _RENAMES.items()}
@@ -84,7 +80,8 @@ def request_fact_source_schema(spark: SparkSession) -> T.StructType:
 
 
 def empty_request_fact(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], request_fact_source_schema(spark))
+    from ..session import empty_frame
+    return empty_frame(spark, request_fact_source_schema(spark))
 
 
 def request_fact_source(ods_request: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
@@ -145,7 +142,8 @@ def empty_case_fact(spark: SparkSession) -> DataFrame:
     ts, s, lg = T.TimestampNTZType(), T.StringType(), T.LongType()
     types = {"added_dt": ts, "case_number": s, "changed_dt": ts, "closed_dt": ts,
              "current_location": s, "current_phone": s, "received_dt": ts}
-    return spark.createDataFrame([], T.StructType(
+    from ..session import empty_frame
+    return empty_frame(spark, T.StructType(
         [T.StructField(c, types.get(c, lg), True) for c in CASE_FACT_COLUMNS]))
 
 

@@ -69,5 +69,18 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def empty_frame(spark: SparkSession, schema) -> DataFrame:
+    """An empty DataFrame Catalyst knows to be empty.
+
+    Built as a one-row relation filtered by ``false`` (folded to an empty
+    local relation), so unions with it and joins against it are pruned at
+    planning time; ``createDataFrame([])`` would be an opaque RDD scan.
+    """
+    from pyspark.sql import functions as F
+    return (spark.range(1)
+            .select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+            .where(F.lit(False)))
+
+
 def repo_root() -> str:
     return os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
