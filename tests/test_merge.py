@@ -106,3 +106,17 @@ def test_customer_insert_only_column_kept(spark, wh):
     # added_by_id is insert-only: unchanged although the profile's added_by changed
     assert changed.filter(F.col("a.added_by_id") != F.col("b.added_by_id")).count() == 0
     assert second.count() == first.count()
+
+
+def test_upsert_same_result_with_broadcast_or_shuffled_source(spark):
+    dst = spark.range(0, 2000).select(F.col("id"), F.col("id").cast("string").alias("code"),
+                                      F.lit("old").alias("name"), F.lit("n").alias("note"))
+    src = spark.range(1990, 2010).select(F.col("id").cast("string").alias("code"),
+                                         F.lit("new").alias("name"), F.lit("m").alias("note"))
+    a = merge.upsert(dst, src, ["code"], ["name"], small_src=True)
+    b = merge.upsert(dst, src, ["code"], ["name"], small_src=False)
+    assert rows(a) == rows(b)
+    assert a.filter("name = 'new'").count() == 20 and a.count() == 2010
+    c = merge.insert_new(dst, src, ["code"], small_src=True)
+    d = merge.insert_new(dst, src, ["code"], small_src=False)
+    assert rows(c) == rows(d) and c.count() == 2010

@@ -83,8 +83,28 @@ def one_per_key(src: DataFrame, keys) -> DataFrame:
             .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest]))
 
 
-def _new_rows(dst: DataFrame, src: DataFrame, keys, id_col, order_cols, bounded, start):
-    new = src.join(dst.select(*keys), list(keys), "left_anti")
+# a source (batch) proven to have at most this many rows is broadcast, so the
+# target table is only scanned, never shuffled, by the upsert
+SMALL_SOURCE_MAX_ROWS = 2_000_000
+
+
+def _small(src: DataFrame, small_src: bool | None) -> bool:
+    if small_src is None:
+        from .lookup import row_count_at_most
+        return row_count_at_most(src, SMALL_SOURCE_MAX_ROWS) is not None
+    return small_src
+
+
+def _new_rows(dst: DataFrame, src: DataFrame, keys, id_col, order_cols, bounded, start,
+              small_src: bool = False):
+    if small_src:
+        # keys of the (small) source that already exist: found by scanning the
+        # target against a broadcast of the source keys; at most |src| rows
+        src_keys = F.broadcast(src.select(*keys))
+        matched = F.broadcast(dst.select(*keys).join(src_keys, list(keys), "left_semi"))
+        new = src.join(matched, list(keys), "left_anti")
+    else:
+        new = src.join(dst.select(*keys), list(keys), "left_anti")
     if id_col is None:
         return new
     start = max_id(dst, id_col) if start is None else start
@@ -93,31 +113,41 @@ def _new_rows(dst: DataFrame, src: DataFrame, keys, id_col, order_cols, bounded,
 
 def insert_new(dst: DataFrame, src: DataFrame, keys, id_col: str | None = "id",
                order_cols=None, bounded: bool | None = None, src_unique: bool = False,
-               start: int | None = None) -> DataFrame:
+               start: int | None = None, small_src: bool | None = None) -> DataFrame:
     """M2: append source rows whose key is not in ``dst``.
 
     ``start`` is the current maximum id when the caller knows it (0 for an
-    empty table); otherwise it is read from ``dst``.
+    empty table); otherwise it is read from ``dst``. ``small_src=None``
+    decides from a bounded count whether the source can be broadcast.
     """
     keys = list(keys)
     src = src if src_unique else one_per_key(src, keys)
-    new = _new_rows(dst, src, keys, id_col, order_cols, bounded, start)
+    new = _new_rows(dst, src, keys, id_col, order_cols, bounded, start,
+                    start != 0 and _small(src, small_src))
     return dst.unionByName(new.select(*dst.columns))
 
 
 def upsert(dst: DataFrame, src: DataFrame, keys, update_cols, id_col: str | None = "id",
            order_cols=None, bounded: bool | None = None, src_unique: bool = False,
-           start: int | None = None) -> DataFrame:
-    """M3: update ``update_cols`` of matched keys, append unmatched source rows."""
+           start: int | None = None, small_src: bool | None = None) -> DataFrame:
+    """M3: update ``update_cols`` of matched keys, append unmatched source rows.
+
+    With a small source (proven by a bounded count, or ``small_src=True``) the
+    changes are broadcast: the target is scanned once and not shuffled. A
+    large source joins by a shuffle on the keys.
+    """
     keys = list(keys)
     update_cols = [c for c in update_cols if c not in keys]
     src = src if src_unique else one_per_key(src, keys)
+    small = start != 0 and _small(src, small_src)   # start 0: empty target
     changes = src.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in update_cols],
                          F.lit(True).alias("_hit"))
+    if small:
+        changes = F.broadcast(changes)
     kept = dst.join(changes, keys, "left").select(*[
         F.when(F.col("_hit"), F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c)
         if c in update_cols else F.col(c)
         for c in dst.columns
     ])
-    new = _new_rows(dst, src, keys, id_col, order_cols, bounded, start)
+    new = _new_rows(dst, src, keys, id_col, order_cols, bounded, start, small)
     return kept.unionByName(new.select(*dst.columns))
