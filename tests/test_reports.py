@@ -91,3 +91,9 @@ def test_report_window_is_inclusive(wh):
     dates = [r["date"] for r in stats.collect()]
     assert max(dates) <= D(2001, 8, 1) and min(dates) >= D(2001, 7, 1)
     assert D(2001, 8, 1) in dates
+
+
+def test_pivot_view_answers_sql(spark, wh):
+    name = reports.register_pivot_view(wh.pivot)
+    n = spark.sql(f"select count(*) as n from {name} where client is not null").first()["n"]
+    assert n == wh.pivot.count()

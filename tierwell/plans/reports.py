@@ -161,3 +161,15 @@ def plan_fact(pivot: DataFrame, spr_client: DataFrame, window, as_of) -> DataFra
         "plan_rso", "fact_rso",
         F.try_divide(fact_rso.cast("double"), F.col("plan_rso")).alias("pf_rso_diff"),
         F.when(left < 0, F.lit(0.0)).otherwise(left / yday).alias("need_rso_per_day"))
+
+
+PIVOT_VIEW = "reports_daily_pivot_v"
+
+
+def register_pivot_view(pivot: DataFrame, name: str = PIVOT_VIEW) -> str:
+    """Expose the daily pivot as a session view for SQL report queries.
+
+    The view is the lazy plan, recomputed on each read like the original view.
+    """
+    pivot.createOrReplaceTempView(name)
+    return name
