@@ -88,6 +88,11 @@ def one_per_key(src: DataFrame, keys) -> DataFrame:
 SMALL_SOURCE_MAX_ROWS = 2_000_000
 
 
+def _known_empty(dst: DataFrame) -> bool:
+    from .lookup import known_row_bound
+    return known_row_bound(dst) == 0
+
+
 def _small(src: DataFrame, small_src: bool | None) -> bool:
     if small_src is None:
         from .lookup import row_count_at_most
@@ -122,6 +127,8 @@ def insert_new(dst: DataFrame, src: DataFrame, keys, id_col: str | None = "id",
     """
     keys = list(keys)
     src = src if src_unique else one_per_key(src, keys)
+    if _known_empty(dst):
+        start = 0
     new = _new_rows(dst, src, keys, id_col, order_cols, bounded, start,
                     start != 0 and _small(src, small_src))
     return dst.unionByName(new.select(*dst.columns))
@@ -139,6 +146,8 @@ def upsert(dst: DataFrame, src: DataFrame, keys, update_cols, id_col: str | None
     keys = list(keys)
     update_cols = [c for c in update_cols if c not in keys]
     src = src if src_unique else one_per_key(src, keys)
+    if _known_empty(dst):
+        start = 0                                   # nothing to match, ids from 1
     small = start != 0 and _small(src, small_src)   # start 0: empty target
     changes = src.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in update_cols],
                          F.lit(True).alias("_hit"))

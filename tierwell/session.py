@@ -77,9 +77,11 @@ def empty_frame(spark: SparkSession, schema) -> DataFrame:
     planning time; ``createDataFrame([])`` would be an opaque RDD scan.
     """
     from pyspark.sql import functions as F
-    return (spark.range(1)
-            .select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
-            .where(F.lit(False)))
+    from .operators.lookup import with_row_bound
+    df = (spark.range(1)
+          .select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+          .where(F.lit(False)))
+    return with_row_bound(df, 0)
 
 
 def repo_root() -> str:
