@@ -120,3 +120,9 @@ def test_upsert_same_result_with_broadcast_or_shuffled_source(spark):
     c = merge.insert_new(dst, src, ["code"], small_src=True)
     d = merge.insert_new(dst, src, ["code"], small_src=False)
     assert rows(c) == rows(d) and c.count() == 2010
+
+
+def test_enum_dims_fallback_equals_joint(wh):
+    joint = D.enum_dims(wh.values)
+    apart = D.enum_dims(wh.values, max_rows=0)      # forces per-dimension numbering
+    assert rows(joint) == rows(apart)

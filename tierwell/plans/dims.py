@@ -143,25 +143,38 @@ def enum_dim(name: str, values, current: DataFrame | None = None) -> DataFrame:
     value, sources = ENUMS[name]
     frames = [values.of(entity, col) for entity, col in sources]
     vals = _values(frames).distinct().select(F.col("value").alias(value))
-    return merge.insert_new(_state(values.spark, name, current), vals, [value], bounded=True,
+    return merge.insert_new(_state(values.spark, name, current), vals, [value],
                             src_unique=True, start=_start(current))
 
 
-def enum_dims(values, current: dict[str, DataFrame] | None = None) -> DataFrame:
+# enumerations up to this many distinct values in total are numbered together
+ENUM_JOINT_MAX_ROWS = 1_000_000
+
+
+def enum_dims(values, current: dict[str, DataFrame] | None = None,
+              max_rows: int = ENUM_JOINT_MAX_ROWS) -> DataFrame:
     """All enumeration dimensions in one plan, as one (dim, id, value) table.
 
     Same result per dimension as :func:`enum_dim`: values not yet present get
     ids after that dimension's current maximum, in value order. The window is
     partitioned by dimension name (a handful of partitions, each holding one
     enumeration's distinct values), and the per-dimension maxima are a table
-    with one row per dimension (the only broadcast).
+    with one row per dimension (the only broadcast). The joint numbering is
+    used only when the distinct values are proven to be at most ``max_rows``;
+    beyond that each dimension is numbered on its own with the distributed
+    id assignment.
     """
     from pyspark.sql import Window
+    from ..operators.lookup import row_count_at_most
     values = _as_values(values)
     frames = [values.table(entity).filter(F.col("column") == col)
               .select(F.lit(name).alias("dim"), "value")
               for name, (_, sources) in ENUMS.items() for entity, col in sources]
     vals = _values(frames).distinct()
+    if row_count_at_most(vals, max_rows) is None:
+        return _values([enum_dim(n, values, None if not current else current.get(n))
+                        .select(F.lit(n).alias("dim"), "id", F.col(ENUMS[n][0]).alias("value"))
+                        for n in ENUMS])
     order = Window.partitionBy("dim").orderBy("value")
     if not current:
         return vals.select("dim", F.row_number().over(order).cast("long").alias("id"), "value")
