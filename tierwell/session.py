@@ -58,15 +58,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and cut its lineage.
+    """Write ``df`` as a table in the shared checkpoint folder and cut its lineage.
 
     Used where one intermediate feeds several jobs (ODS snapshot, dimension
     tables) or where later steps must see exactly one evaluation of a
     nondeterministic expression (partition-offset ids). Survives executor
     loss, unlike a local checkpoint or a cache.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    import uuid
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tierwell-tables/{uuid.uuid4().hex}"
+    # a written table in the shared checkpoint folder: columnar, so later
+    # reads prune columns and push filters (is_active = 1, key ranges)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def empty_frame(spark: SparkSession, schema) -> DataFrame:
