@@ -3,7 +3,8 @@
 Usage: python tests/compare.py [sf_dir] [query ...]
 
 Comparison: row count, column names, and an order-insensitive hash of the
-rows with columns sorted by name (floats rounded to 9 significant digits).
+rows with columns sorted by name (floats rounded to 9 significant digits, or
+exact with COMPARE_RAW=1).
 """
 
 from __future__ import annotations
@@ -21,9 +22,12 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
+RAW = os.environ.get("COMPARE_RAW") == "1"   # hash floats bit for bit
+
+
 def norm(v):
     if isinstance(v, float):
-        return None if v != v else float(f"{v:.9g}")
+        return None if v != v else (v if RAW else float(f"{v:.9g}"))
     if isinstance(v, dt.datetime):
         return v.replace(tzinfo=None).isoformat(sep=" ")
     if isinstance(v, dt.date):
