@@ -41,10 +41,7 @@ def run(df) -> None:
 
 
 def all_dims(wh: Warehouse) -> None:
-    from tierwell.plans import dims as D
-    for name in list(D.ENUMS) + ["spr_client", "spr_agent", "spr_customer", "spr_phone",
-                                 "spr_email", "spr_currency", "spr_country", "spr_city"]:
-        wh.dims[name]
+    wh.build_dims()
 
 
 def main() -> None:

@@ -126,3 +126,13 @@ def test_enum_dims_fallback_equals_joint(wh):
     joint = D.enum_dims(wh.values)
     apart = D.enum_dims(wh.values, max_rows=0)      # forces per-dimension numbering
     assert rows(joint) == rows(apart)
+
+
+def test_parallel_dimension_build_equals_lazy(spark):
+    from tierwell.plans.warehouse import Warehouse
+    from conftest import SF_TINY
+    a = Warehouse(spark, SF_TINY).build_dims()
+    b = Warehouse(spark, SF_TINY).dims
+    for name in ["spr_client", "spr_agent", "spr_customer", "spr_phone", "spr_email",
+                 "spr_currency", "spr_country", "spr_city", "spr_act", "spr_status"]:
+        assert rows(a[name]) == rows(b[name]), name
