@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, functions as F
 
 
@@ -32,10 +30,3 @@ def normalize_header(name: str) -> str:
     """Lower-case a column header, ``/`` and space become ``_``."""
     return str(name).lower().replace("/", "_").replace(" ", "_")
 
-
-_CITATION = re.compile(r"\[.*\]")
-
-
-def strip_citations_text(value: str | None) -> str | None:
-    """Python twin of :func:`tierwell.functions.text.strip_citations` (headers)."""
-    return None if value is None else _CITATION.sub("", value)

@@ -31,7 +31,3 @@ def plan_by_day(plan: DataFrame, start, as_of) -> DataFrame:
     return days.select("date", month_label(F.col("date")).alias("month"), "client",
                        "target_monthly")
 
-
-def in_interval(day, plan_alias_from="effective_from", plan_alias_to="effective_to"):
-    """Join condition of a day against a half-open plan interval."""
-    return (day >= F.col(plan_alias_from)) & (day < F.col(plan_alias_to))

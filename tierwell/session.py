@@ -7,7 +7,6 @@ cluster), which it reads and never overrides when set.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -88,6 +87,3 @@ def empty_frame(spark: SparkSession, schema) -> DataFrame:
           .where(F.lit(False)))
     return with_row_bound(df, 0)
 
-
-def repo_root() -> str:
-    return os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

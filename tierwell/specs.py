@@ -125,7 +125,7 @@ ADDRESS = EntitySpec(
 ENTITIES = {"case": CASE, "request": REQUEST, "address": ADDRESS}
 
 
-# --- fixed values: must equal the reference's for right results -------------
+# --- fixed values: must equal the original warehouse's for right results -----
 # Client codes counted as "utilisation" clients.
 UTIL_CLIENTS = ("BLB", "CIP", "HBC", "HPB", "KKB", "PSP", "RBA", "RPB", "SBN", "SBP",
                 "SDB", "SGS", "UBK", "VSM", "YPO")

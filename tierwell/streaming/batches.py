@@ -1,6 +1,6 @@
 """Staging exports arriving as files, loaded with Structured Streaming.
 
-The reference loads each export batch with a script run. Here a file stream
+The original warehouse loads each export batch with a script run. Here a file stream
 over the staging folder hands every micro-batch to ``foreachBatch``, which
 runs the same history load (gate, rejects, touched-keys-only merge) and
 writes the next ODS snapshot. The load clock of a micro-batch is a function
