@@ -16,6 +16,9 @@ sf0.001 so that one-off code generation is not charged to the first step):
 
 The warm-up runs the same build on BENCH_WARMUP_DIR (default sf0.01), large
 enough for the JVM to compile the hot paths; it is not timed.
+
+Shuffle bytes written per step are read from Spark's event log, written to a
+fresh scratch folder (each step runs under its own job group).
 """
 
 from __future__ import annotations
@@ -44,10 +47,41 @@ def all_dims(wh: Warehouse) -> None:
     wh.build_dims()
 
 
+def shuffle_bytes_by_group(log_dir: str) -> dict[str, int]:
+    """Sum of shuffle bytes written per job group, from the event log."""
+    import glob
+    stage_group: dict[int, str] = {}
+    written: dict[str, int] = {}
+    for path in glob.glob(os.path.join(log_dir, "**", "*"), recursive=True):
+        if not os.path.isfile(path) or os.path.basename(path).startswith((".", "appstatus")):
+            continue
+        with open(path) as f:
+            for line in f:
+                ev = json.loads(line)
+                kind = ev.get("Event")
+                if kind == "SparkListenerJobStart":
+                    group = (ev.get("Properties") or {}).get("spark.jobGroup.id")
+                    for sid in ev.get("Stage IDs", []):
+                        if group:
+                            stage_group[sid] = group
+                elif kind == "SparkListenerStageCompleted":
+                    info = ev["Stage Info"]
+                    group = stage_group.get(info["Stage ID"])
+                    for acc in info.get("Accumulables", []):
+                        if acc.get("Name") == "internal.metrics.shuffle.write.bytesWritten" and group:
+                            written[group] = written.get(group, 0) + int(acc.get("Value", 0))
+    return written
+
+
 def main() -> None:
+    import tempfile
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = local_session(cpus, shuffle_partitions=max(8, cpus))
+    log_dir = tempfile.mkdtemp(prefix="tierwell-eventlog-")
+    spark = local_session(cpus, shuffle_partitions=max(8, cpus),
+                          extra_conf={"spark.eventLog.enabled": "true",
+                                      "spark.eventLog.compress": "false",
+                                      "spark.eventLog.dir": f"file://{log_dir}"})
 
     # warm-up: same plans on smaller data (code generation, JIT), not timed
     warm = Warehouse(spark, os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.01"))
@@ -57,6 +91,7 @@ def main() -> None:
     times: dict[str, float] = {}
 
     def timed(name, fn):
+        spark.sparkContext.setJobGroup(name, name)
         t = time.time()
         out = fn()
         times[name] = round(time.time() - t, 3)
@@ -85,8 +120,15 @@ def main() -> None:
 
     total = round(sum(times.values()), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    print(json.dumps({"metric": "warehouse_build_total", "value": total, "unit": "sec",
-                      "queries": times, "sf": sf}))
+    result = {"metric": "warehouse_build_total", "value": total, "unit": "sec",
+              "queries": times, "sf": sf}
+    spark.stop()   # flushes the event log
+    try:
+        shuffled = shuffle_bytes_by_group(log_dir)
+        result["shuffle_bytes"] = {k: shuffled.get(k, 0) for k in times}
+    except Exception:  # noqa: BLE001 - the timings stand on their own
+        pass
+    print(json.dumps(result))
 
 
 if __name__ == "__main__":

@@ -158,9 +158,12 @@ class Warehouse:
             else:
                 self.dims[name]                                 # noqa: B018
 
+        from pyspark import inheritable_thread_target
+        # the caller's job group / local properties follow the jobs into the threads
+        task = inheritable_thread_target(self.spark)(one)
         with ThreadPoolExecutor(max_workers=threads) as pool:
             for stage in self.DIM_STAGES:
-                list(pool.map(one, stage))
+                list(pool.map(task, stage))
         for name in D.ENUMS:
             self.dims[name]                                     # noqa: B018
         return self.dims

@@ -13,10 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "tierwell") -> SparkSession:
+                  app: str = "tierwell", extra_conf: dict | None = None) -> SparkSession:
     """Session for tests and the local benchmark (never used by operators)."""
+    builder = SparkSession.builder
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     spark = (
-        SparkSession.builder.master(f"local[{cpus}]").appName(app)
+        builder.master(f"local[{cpus}]").appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.host", "127.0.0.1")
