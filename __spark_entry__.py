@@ -8,6 +8,7 @@ written as plain SQL (``oracle_sql.py``).
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -29,6 +30,17 @@ from tierwell.sources import fixtures as fx  # noqa: E402
 SF_SMOKE = "/root/testdata/sf0.001"
 
 
+def _present(name: str) -> bool:
+    """Whether a module's own file is there (a left-over cache folder is not)."""
+    spec = importlib.util.find_spec(name)
+    return spec is not None and spec.origin is not None
+
+
+# the corpus operators and their pipeline are optional: without them the rest works
+_LLM = _present("tierwell.llm")
+_PIPELINE = _LLM and _present("corpus_pipeline")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: daily stats report (R3) built end to end from the sf0.001 tables."""
     return Warehouse(spark, SF_SMOKE).daily_stats()
@@ -207,10 +219,24 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "reference_list": _reference_list,
         "table_copy_counts": _table_copy_counts,
     }
+    if _LLM:
+        from tierwell.llm.queries import queries as llm_queries
+        q |= llm_queries()
+    if _PIPELINE:
+        import corpus_pipeline
+        q["pipeline"] = corpus_pipeline.run
     return q
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL per query over the pre-registered driver views."""
     import oracle_sql as oracle
-    return oracle.queries()
+    sql = dict(oracle.queries())
+    if _LLM:
+        from tierwell.llm.queries import oracle_sql as llm_oracle
+        sql |= llm_oracle()
+    if _PIPELINE:
+        import corpus_pipeline
+        if corpus_pipeline.ORACLE_SQL:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return sql
