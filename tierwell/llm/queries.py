@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, lines
+from . import bpe, decontam, lines, secrets
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,10 +25,21 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.digests(lines.dedup_lines(documents(spark, sf_dir)))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(secrets.scan(secrets.build_index(documents(spark, sf_dir))))
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = decontam.build_index(documents(spark, sf_dir))
+    return decontam.digests(decontam.search(index, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
+
+
 def queries() -> dict:
     return {
         "op1_byte_bpe": op1_byte_bpe,
         "op5_line_dedup": op5_line_dedup,
+        "op7_secret_scan": op7_secret_scan,
+        "op8_decontamination": op8_decontamination,
     }
 
 
@@ -54,6 +65,33 @@ select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
 from m group by doc_id
 """
 
+#: Windows of the items meet the documents' words by their first word, then word by word.
+_OP8 = f"""
+with w as (
+  select doc_id, regexp_extract_all({_LOW.format("coalesce(text, '')")},
+         '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as ws from documents),
+b as (
+  select item_id, regexp_extract_all({_LOW.format("coalesce(text, '')")},
+         '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as ws from benchmark),
+win as (
+  select distinct item_id, ws[k:k + 9] as p
+  from (select item_id, ws, unnest(range(1, greatest(2, len(ws) - 8))) as k from b where len(ws) > 0)),
+pos as (
+  select doc_id, k, ws[k:k + 9] as t
+  from (select doc_id, ws, unnest(range(1, len(ws) + 1)) as k from w)),
+occ as (
+  select pos.doc_id, pos.k, win.item_id, len(win.p) as n
+  from pos join win on win.p = pos.t[1:len(win.p)] and win.p[1] = pos.t[1]),
+hit as (
+  select doc_id, count(distinct h) as n_hit from (select doc_id, unnest(range(k, k + n)) as h from occ) group by doc_id),
+ids as (
+  select doc_id, count(distinct item_id) as n_items,
+         string_agg(distinct item_id::varchar, ',' order by item_id::varchar) as items from occ group by doc_id)
+select w.doc_id, len(w.ws) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from w left join hit using (doc_id) left join ids using (doc_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_line_dedup": _OP5}
+    return {"op5_line_dedup": _OP5, "op8_decontamination": _OP8}
