@@ -5,9 +5,10 @@ pre-tokens as a compressed sequence of positions in the block's own word list
 and sends each of its words once to the bucket that the word hashes to. A
 bucket meets every distinct word of the corpus that belongs to it, runs the
 merges once per distinct word, and answers each block with the ids of its
-words. A block then reassembles its documents by position. What is shuffled
-is one compressed position list per block and the distinct words per block,
-never one row per pre-token; a frequent word costs one entry per block.
+words. A block then reassembles its documents by position. The blocks are
+written once as a table bucketed by block, so their position lists are never
+shuffled; what moves is the distinct words per block and their ids, never one
+row per pre-token. A frequent word costs one entry per block.
 
 Decoding joins the token-byte table (as many rows as the vocabulary file, a
 fixed bound) and concatenates the bytes in order.
@@ -24,10 +25,12 @@ import regex
 import zstandard
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import blocks, checkpointed, id_and_text, pack, span_hashes, unpack
+from .common import blocks, colocated, id_and_text, pack, span_hashes, unpack
 
 #: Longest vocabulary file that is sent to the tasks.
 MAX_VOCABULARY_BYTES = 64_000_000
+#: Characters that are cut into pre-tokens at a time.
+STRETCH_CHARS = 500_000
 _SPACE, _LETTER, _NUMBER, _OTHER, _EDGE = range(5)
 _classes: list[np.ndarray] = []
 
@@ -153,11 +156,19 @@ def _split_blocks(buckets: int, limit: int):
         from pyspark import TaskContext
         part = TaskContext.get().partitionId()
         for number, (ids, texts) in enumerate(blocks(batches, limit)):
-            joined, cp, starts, ends, begin = pretoken_spans(texts)
-            keys = span_hashes(cp, starts, ends)
-            distinct, at, where, count = np.unique(keys, return_index=True, return_inverse=True,
-                                                   return_counts=True)
-            del cp, keys
+            parts, keys, per_doc, size, lo = [], [], [], 0, 0
+            for hi, text in enumerate(texts, 1):        # a stretch of texts at a time
+                size += len(text) + 1
+                if size >= STRETCH_CHARS or hi == len(texts):
+                    joined, cp, starts, ends, begin = pretoken_spans(texts[lo:hi])
+                    parts.append((joined, starts.astype(np.int32), ends.astype(np.int32)))
+                    keys.append(span_hashes(cp, starts, ends))
+                    per_doc.append(np.diff(begin))
+                    lo, size = hi, 0
+            base = np.cumsum([0, *map(len, keys)])
+            distinct, at, where, count = np.unique(np.concatenate(keys), return_index=True,
+                                                   return_inverse=True, return_counts=True)
+            del keys, texts
             # number the words by bucket first (so that the answers join on),
             # then by frequency, which keeps most positions small
             bucket = (distinct >> np.uint64(33)).astype(np.int64) % buckets
@@ -165,14 +176,17 @@ def _split_blocks(buckets: int, limit: int):
             by_count = np.argsort(-count, kind="stable")
             rank[by_count] = np.arange(len(distinct), dtype=np.uint32)
             block = f"{part}-{number}"
-            out = [{"block": block, "bucket": -1, "ids": ids, "counts": pack(np.diff(begin)),
+            out = [{"block": block, "bucket": -1, "ids": ids, "counts": pack(np.concatenate(per_doc)),
                     "data": pack(rank[where.ravel()])}]
             order = np.lexsort((rank, bucket))
             cut = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=buckets))
             for lo, hi in zip(cut, cut[1:]):
                 own = order[lo:hi]
-                words = [joined[s:e].encode() for s, e in zip(starts[at[own]].tolist(),
-                                                               ends[at[own]].tolist())]
+                words = []
+                for place, which in zip(at[own].tolist(),
+                                        (np.searchsorted(base, at[own], side="right") - 1).tolist()):
+                    joined, starts, ends = parts[which]
+                    words.append(joined[starts[place - base[which]]:ends[place - base[which]]].encode())
                 lens = np.fromiter(map(len, words), np.uint32, len(words))
                 out.append({"block": block, "bucket": int(bucket[order[lo]]), "ids": None,
                             "counts": pack(np.concatenate((rank[own], lens))),
@@ -276,7 +290,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id",
         for out in split(batches):
             yield pa.RecordBatch.from_pylist(out, schema=arrow)
 
-    made = checkpointed(rows.mapInArrow(to_arrow, fields))
+    made = colocated(rows.mapInArrow(to_arrow, fields), "block")
     shared = spark.sparkContext.broadcast(ranks)
     answers = (made.where("bucket >= 0").select("bucket", "block", "counts", "data")
                .groupBy("bucket")

@@ -7,17 +7,20 @@ so a task's memory is bounded by one block plus its longest document.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import xxhash
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import ensure_checkpoint_dir
 
 BLOCK_CHARS = 4_000_000
+WORK_TABLE = "tierwell_work_"
 _BASE = 0x9E3779B97F4A7C15          # odd, so invertible modulo 2**64
-_MASK = (1 << 64) - 1
+_STRETCH, _LONG = 1 << 18, 256       # symbols hashed at a time; longest span in the running sum
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -31,6 +34,32 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def colocated(df: DataFrame, key: str) -> DataFrame:
+    """Write ``df`` once as a table bucketed by ``key`` and read it back.
+
+    A later grouping or join on the key finds the rows where they are, with no
+    shuffle of this side. The table lies in the shared checkpoint folder (its
+    name starts with ``WORK_TABLE``) until ``drop_work_tables``.
+    """
+    spark = df.sparkSession
+    name = f"{WORK_TABLE}{uuid.uuid4().hex}"
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"
+    (df.write.format("parquet").option("compression", "none").option("path", folder)
+     .bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key).saveAsTable(name))
+    return spark.table(name)
+
+
+def drop_work_tables(spark: SparkSession) -> None:
+    """Remove the tables of ``colocated``, once the results that read them are stored."""
+    for table in spark.catalog.listTables(pattern=f"{WORK_TABLE}*"):
+        folder = spark.sql(f"describe formatted {table.name}").where("col_name = 'Location'").head()
+        spark.sql(f"drop table {table.name}")
+        if folder:
+            jvm = spark.sparkContext._jvm
+            path = jvm.org.apache.hadoop.fs.Path(folder.data_type)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the id and the text (null: empty), so other columns never clash or travel."""
     return docs.select(F.col(id_col).alias("doc_id"),
@@ -68,16 +97,14 @@ def unpack(blob: bytes) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(4, -1).T).view("<u4").ravel()
 
 
-def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64, at least n + 1 of each."""
-    have = _powers.get("up")
-    if have is None or len(have) <= n:
-        size = max(1 << 16, 1 << int(n + 1).bit_length())
+def _power_table() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo 2**64, for one stretch of symbols."""
+    if not _powers:
+        size = _STRETCH + _LONG
         for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
             out, done = np.ones(size, dtype=np.uint64), 1
             while done < size:
-                step = np.uint64(pow(base, done, 1 << 64))
-                out[done:2 * done] = out[:min(done, size - done)] * step
+                out[done:2 * done] = out[:min(done, size - done)] * np.uint64(pow(base, done, 1 << 64))
                 done *= 2
             _powers[name] = out
     return _powers["up"], _powers["down"]
@@ -93,22 +120,29 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 def span_hashes(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the spans [start, end) of a symbol array, without a loop.
+    """64-bit hashes of the ascending spans [start, end) of a symbol array.
 
-    A polynomial over mixed symbols from one running sum. Spans past 256
-    symbols, where such polynomials have known collisions, are hashed apart.
+    A polynomial over mixed symbols from a running sum, one stretch of symbols
+    at a time. Spans past ``_LONG`` symbols, where such polynomials have known
+    collisions, are hashed apart.
     """
-    if not len(starts):
-        return np.empty(0, dtype=np.uint64)
-    up, down = _power_table(len(symbols))
-    values = mix64(np.arange(1, 257, dtype=np.uint64))[symbols] if symbols.dtype == np.uint8 \
-        else mix64(symbols.astype(np.uint64) + np.uint64(1))
-    total = np.empty(len(symbols) + 1, dtype=np.uint64)
-    total[0] = 0
-    np.cumsum(values * up[:len(symbols)], out=total[1:])
-    out = mix64((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
-    for k in np.flatnonzero(ends - starts > 256):
-        import xxhash
+    up, down = _power_table()
+    out = np.empty(len(starts), dtype=np.uint64)
+    sizes = ends - starts
+    lo = 0
+    while lo < len(starts):
+        base = int(starts[lo])
+        hi = int(np.searchsorted(starts, base + _STRETCH))
+        part = symbols[base:base + _STRETCH + _LONG]
+        total = np.empty(len(part) + 1, dtype=np.uint64)
+        total[0] = 0
+        np.cumsum(mix64(part.astype(np.uint64) + np.uint64(1)) * up[:len(part)], out=total[1:])
+        at = starts[lo:hi] - base
+        size = np.minimum(sizes[lo:hi], _LONG)
+        stop = np.minimum(at + size, len(part))
+        out[lo:hi] = mix64((total[stop] - total[at]) * down[at] + size.astype(np.uint64))
+        lo = hi
+    for k in np.flatnonzero(sizes > _LONG).tolist():
         out[k] = xxhash.xxh3_64_intdigest(symbols[starts[k]:ends[k]].tobytes())
     return out
 

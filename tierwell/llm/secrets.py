@@ -149,7 +149,7 @@ _BLOBS = ("grams", "counts", "docs", "sizes", "texts")
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                block_chars: int = 4_000_000) -> DataFrame:
+                block_chars: int = 2_000_000) -> DataFrame:
     """The trigram index of every whole text, one row per block of documents."""
     from pyspark.sql.pandas.types import to_arrow_type
     rows = id_and_text(docs, id_col, text_col)
