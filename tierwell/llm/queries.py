@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, lines, secrets
+from . import bpe, decontam, langid, lines, secrets
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +21,12 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(bpe.encode(documents(spark, sf_dir), ranks), ranks))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = langid.predict(docs, langid.fit(docs))
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.digests(lines.dedup_lines(documents(spark, sf_dir)))
 
@@ -37,6 +43,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {
         "op1_byte_bpe": op1_byte_bpe,
+        "op4_language_id": op4_language_id,
         "op5_line_dedup": op5_line_dedup,
         "op7_secret_scan": op7_secret_scan,
         "op8_decontamination": op8_decontamination,
