@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, langid, lines, secrets
+from . import bpe, decontam, fingerprints, langid, lines, secrets, sharding
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +31,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.digests(lines.dedup_lines(documents(spark, sf_dir)))
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.digests(fingerprints.compare_with_edits(documents(spark, sf_dir)))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.scan(secrets.build_index(documents(spark, sf_dir))))
 
@@ -40,13 +44,19 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digests(decontam.search(index, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.digests(sharding.shard(documents(spark, sf_dir)))
+
+
 def queries() -> dict:
     return {
         "op1_byte_bpe": op1_byte_bpe,
         "op4_language_id": op4_language_id,
         "op5_line_dedup": op5_line_dedup,
+        "op6_fingerprints": op6_fingerprints,
         "op7_secret_scan": op7_secret_scan,
         "op8_decontamination": op8_decontamination,
+        "op9_sharding": op9_sharding,
     }
 
 
