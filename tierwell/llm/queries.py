@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, fingerprints, langid, lines, secrets, sharding
+from . import bpe, decontam, fingerprints, langid, lines, neardup, secrets, sharding
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,6 +48,10 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digests(sharding.shard(documents(spark, sf_dir)))
 
 
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.find_components(documents(spark, sf_dir), shingle=2, percent=80)
+
+
 def queries() -> dict:
     return {
         "op1_byte_bpe": op1_byte_bpe,
@@ -57,6 +61,7 @@ def queries() -> dict:
         "op7_secret_scan": op7_secret_scan,
         "op8_decontamination": op8_decontamination,
         "op9_sharding": op9_sharding,
+        "op10_minhash_near_dedup": op10_minhash_near_dedup,
     }
 
 
