@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, fingerprints, langid, lines, neardup, secrets, sharding
+from . import bpe, decontam, fingerprints, langid, lines, neardup, secrets, sharding, substrings
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(bpe.encode(documents(spark, sf_dir), ranks), ranks))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digests(substrings.remove_repeats(documents(spark, sf_dir)))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     found = langid.predict(docs, langid.fit(docs))
@@ -55,6 +59,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {
         "op1_byte_bpe": op1_byte_bpe,
+        "op2_substring_dedup": op2_substring_dedup,
         "op4_language_id": op4_language_id,
         "op5_line_dedup": op5_line_dedup,
         "op6_fingerprints": op6_fingerprints,
@@ -114,6 +119,25 @@ select w.doc_id, len(w.ws) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_i
 from w left join hit using (doc_id) left join ids using (doc_id)
 """
 
+_OP2 = """
+with d as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as ws from documents),
+win as (
+  select doc_id, k, array_to_string(ws[k:k + 19], ' ') as p
+  from (select doc_id, ws, unnest(range(1, len(ws) - 18)) as k from d)),
+late as (
+  select doc_id, k from (
+    select doc_id, k, row_number() over (partition by p order by doc_id, k) as r from win) where r > 1),
+gone as (select distinct doc_id, unnest(range(k, k + 20)) as k from late),
+w as (select doc_id, unnest(ws) as word, unnest(range(1, len(ws) + 1)) as k from d),
+kept as (
+  select w.doc_id, count(*) as n_kept, string_agg(word, ' ' order by w.k) as kept
+  from w anti join gone on w.doc_id = gone.doc_id and w.k = gone.k group by w.doc_id)
+select d.doc_id, len(ws) as n_words, len(ws) - coalesce(n_kept, 0) as n_removed,
+       sha256(coalesce(kept, '')) as kept_sha256
+from d left join kept on d.doc_id = kept.doc_id
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_line_dedup": _OP5, "op8_decontamination": _OP8}
+    return {"op2_substring_dedup": _OP2, "op5_line_dedup": _OP5, "op8_decontamination": _OP8}
