@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, fingerprints, langid, lines, neardup, secrets, sharding, substrings
+from . import bpe, decontam, fingerprints, langid, lines, neardup, pii, secrets, sharding, substrings
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +25,14 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digests(substrings.remove_repeats(documents(spark, sf_dir)))
 
 
+#: Key of the surrogates of the registered query; a user passes their own.
+SURROGATE_KEY = "corpus surrogates"
+
+
+def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_entities(documents(spark, sf_dir), SURROGATE_KEY).select("doc_id", "n_entities", "text")
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     found = langid.predict(docs, langid.fit(docs))
@@ -60,6 +68,7 @@ def queries() -> dict:
     return {
         "op1_byte_bpe": op1_byte_bpe,
         "op2_substring_dedup": op2_substring_dedup,
+        "op3_pii_surrogates": op3_pii_surrogates,
         "op4_language_id": op4_language_id,
         "op5_line_dedup": op5_line_dedup,
         "op6_fingerprints": op6_fingerprints,
