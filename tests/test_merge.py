@@ -1,6 +1,6 @@
 """Upserts (M2, M3), surrogate ids (M7), enumerations, quirk K5."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tierwell.operators import merge
 from tierwell.plans import dims as D
@@ -36,15 +36,14 @@ def test_upsert_null_update_value_is_written(spark):
 def test_new_ids_continue_after_max_in_key_order(spark):
     dst = spark.createDataFrame([(7, "M", "m", None)], DIM)
     src = spark.createDataFrame([("Z", "z", None), ("A", "a", None)], SRC)
-    for bounded in (True, False):
-        out = merge.insert_new(dst, src, ["code"], bounded=bounded)
-        assert rows(out, "id", "code") == [(7, "M"), (8, "A"), (9, "Z")]
+    out = merge.insert_new(dst, src, ["code"])
+    assert rows(out, "id", "code") == [(7, "M"), (8, "A"), (9, "Z")]
 
 
 def test_distributed_ids_equal_global_row_number(spark):
     df = spark.range(0, 5000).select((F.col("id") * 7919 % 5003).alias("k"))
-    a = merge.assign_ids(df, ["k"], start=100, bounded=False)
-    b = merge.assign_ids(df, ["k"], start=100, bounded=True)
+    a = merge.assign_ids(df.repartition(7), ["k"], start=100)
+    b = df.withColumn("id", F.row_number().over(Window.orderBy("k")) + 100)
     assert rows(a, "k", "id") == rows(b, "k", "id")
     assert rows(a, "id")[0] == (101,) and rows(a, "id")[-1] == (5100,)
 
@@ -58,10 +57,14 @@ def test_enum_dims_joint_equals_one_by_one(wh):
 
 
 def test_enum_dims_second_load_keeps_ids(spark, wh):
-    first = {n: D.split_enum(materialize(D.enum_dims(wh.values)), n) for n in D.ENUMS}
+    first = materialize(D.enum_dims(wh.values))
     again = D.enum_dims(wh.values, first)
-    for n in ["spr_act", "spr_status"]:
-        assert rows(D.split_enum(again, n)) == rows(first[n])
+    assert rows(again, "dim", "id", "value") == rows(first, "dim", "id", "value")
+    part = first.filter(~((F.col("dim") == "spr_act") & (F.col("value") == "No")))
+    grown = D.split_enum(D.enum_dims(wh.values, part), "spr_act")
+    old = D.split_enum(part, "spr_act")
+    new = grown.join(old, "id", "left_anti")
+    assert rows(new, "act_type") == [("No",)] and new.first()["id"] == max(r[0] for r in rows(old, "id")) + 1
 
 
 def test_agent_upsert_new_account_gets_next_id(spark, wh):
@@ -113,19 +116,46 @@ def test_upsert_same_result_with_broadcast_or_shuffled_source(spark):
                                       F.lit("old").alias("name"), F.lit("n").alias("note"))
     src = spark.range(1990, 2010).select(F.col("id").cast("string").alias("code"),
                                          F.lit("new").alias("name"), F.lit("m").alias("note"))
-    a = merge.upsert(dst, src, ["code"], ["name"], small_src=True)
-    b = merge.upsert(dst, src, ["code"], ["name"], small_src=False)
-    assert rows(a) == rows(b)
-    assert a.filter("name = 'new'").count() == 20 and a.count() == 2010
-    c = merge.insert_new(dst, src, ["code"], small_src=True)
-    d = merge.insert_new(dst, src, ["code"], small_src=False)
-    assert rows(c) == rows(d) and c.count() == 2010
-
-
-def test_enum_dims_fallback_equals_joint(wh):
-    joint = D.enum_dims(wh.values)
-    apart = D.enum_dims(wh.values, max_rows=0)      # forces per-dimension numbering
-    assert rows(joint) == rows(apart)
+    a = rows(merge.upsert(dst, src, ["code"], ["name"]))
+    c = rows(merge.insert_new(dst, src, ["code"]))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert a == rows(merge.upsert(dst, src, ["code"], ["name"]))
+        assert c == rows(merge.insert_new(dst, src, ["code"]))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sum(r[2] == "new" for r in a) == 20 and len(a) == len(c) == 2010
+
+
+def test_upsert_evaluates_its_source_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(x):
+        seen.add(1)
+        return x
+    dst = materialize(spark.createDataFrame([(1, "A", "a", "x")], DIM))
+    src = spark.createDataFrame([("A", "a2", "n"), ("B", "b", "n")], SRC)
+    src = src.withColumn("name", F.udf(count, "string")("name"))
+    assert merge.upsert(dst, src, ["code"], ["name"]).count() == 2
+    assert seen.value == 2
+
+
+def test_newest_of_colliding_keys(spark):
+    df = spark.createDataFrame([("x1", 1, None), ("x2", 1, "b"), ("y1", 3, "c"), ("z1", 2, "q"), ("z2", 9, "a"), ("z3", 9, "b")],
+                               "name string, at int, tie string")
+    out = merge.newest_of_colliding(df, {"k": F.substring("name", 1, 1)}, ["at", "tie", "name"])
+    assert rows(out, "name") == [("x2",), ("y1",), ("z3",)]
+
+
+def test_no_single_partition_step_in_dimensions(wh):
+    import contextlib
+    import io
+    for name in ["spr_client", "spr_agent", "spr_city", "spr_status", "spr_customer"]:
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            wh.dims[name].explain(mode="formatted")
+        assert "SinglePartition" not in buf.getvalue()
 
 
 def test_parallel_dimension_build_equals_lazy(spark):

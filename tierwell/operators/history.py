@@ -12,13 +12,16 @@ last delivered (``effective_from``) and a current-row flag (``is_active``):
    by the change timestamp, then every other column, all descending with
    NULLs last (deterministic; the source database left ties open).
 
-Scale notes: steps 3 and 4 are ``groupBy + max(struct)`` aggregations with
-map-side partial aggregation, so a hot version or a hot key (one entity with
-millions of versions) is collapsed before the shuffle instead of landing in
-one window task; the flag is joined back on the key, where AQE's skew-join
-split applies. ``touched_only=True`` reprocesses only the history of keys
-present in the batch (semi/anti split), which is the same result because all
-three steps stay inside one entity key.
+Scale notes. Versions are grouped by a 128-bit hash of the dedupe columns, with
+map-side combining, so the wide rows are shuffled once, by their content: an
+entity with millions of versions is spread over all tasks, and a version
+delivered millions of times is combined before the shuffle. Everything else
+is narrow: the newest ``(effective_from, change timestamp)`` per key, then the
+hash of the version that has it. Only keys with several such versions look
+at the remaining columns. The flag joins back on the version hash, on which the
+wide rows already lie, so they do not move again. ``touched_only=True``
+reprocesses only the history of keys present in the batch (semi/anti split),
+which is the same result because all steps stay inside one entity key.
 """
 
 from __future__ import annotations
@@ -26,11 +29,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..specs import EFFECTIVE_FROM, IS_ACTIVE, EntitySpec
-from ..session import empty_frame
+from ..session import empty_frame, materialize
 from . import gate
-from .lookup import bounded
-
-BATCH_KEYS_BROADCAST_MAX_ROWS = 2_000_000
 
 
 def empty_ods(spark: SparkSession, spec: EntitySpec) -> DataFrame:
@@ -59,40 +59,64 @@ def stamp(valid: DataFrame, spec: EntitySpec, as_of) -> DataFrame:
     return _with_derived(rows, spec).select(*spec.ods_columns[:-1])
 
 
-def dedupe_versions(rows: DataFrame, spec: EntitySpec) -> DataFrame:
-    """One row per distinct combination of the dedupe columns, newest wins."""
+_HASH = ("_h1", "_h2")
+
+
+def _version_hash(cols) -> list:
+    """Two 64-bit hashes of the columns; NULLs are told apart from what they leave out."""
+    nulls = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in cols])
+    return [F.xxhash64(nulls, *cols).alias(_HASH[0]),
+            F.xxhash64(*reversed(list(cols)), nulls, F.lit("v")).alias(_HASH[1])]
+
+
+def _hashed_versions(rows: DataFrame, spec: EntitySpec) -> DataFrame:
     residual = [c for c in spec.columns if c not in spec.dedupe]
-    if not residual:
-        out = rows.groupBy(*spec.dedupe).agg(F.max(EFFECTIVE_FROM).alias(EFFECTIVE_FROM))
-    else:
-        newest = F.max(F.struct(F.col(EFFECTIVE_FROM), *[F.col(c) for c in residual]))
-        out = rows.groupBy(*spec.dedupe).agg(newest.alias("_v")).select(*spec.dedupe, "_v.*")
-    return _with_derived(out.select(*spec.columns, EFFECTIVE_FROM), spec)
+    newest = F.max(F.struct(F.col(EFFECTIVE_FROM), *[F.col(c) for c in residual])).alias("_v")
+    out = (rows.select(*spec.columns, EFFECTIVE_FROM, *_version_hash(spec.dedupe))
+           .groupBy(*_HASH).agg(newest, F.first(F.struct(*spec.dedupe)).alias("_d"))
+           .select(*_HASH, "_d.*", "_v.*"))
+    return _with_derived(out.select(*_HASH, *spec.columns, EFFECTIVE_FROM), spec)
 
 
-def _flag_order(spec: EntitySpec):
+def dedupe_versions(rows: DataFrame, spec: EntitySpec) -> DataFrame:
+    """One row per distinct combination of the dedupe columns, newest wins."""
+    return _hashed_versions(rows, spec).drop(*_HASH)
+
+
+def _winners(versions: DataFrame, spec: EntitySpec) -> DataFrame:
+    """Hash of the newest version of each entity key."""
+    at = F.struct(F.col(EFFECTIVE_FROM), F.col(spec.change_ts))
+    newest = versions.groupBy(F.col(spec.key).alias("_k")).agg(F.max(at).alias("_at"))
+    # null-safe matches: no inferred not-null filter on one branch only, so all
+    # branches share the one exchange of the versions
+    first = (versions.select(F.col(spec.key).alias("_key"), at.alias("_own"), *_HASH)
+             .join(newest, F.col("_key").eqNullSafe(F.col("_k")) & F.col("_own").eqNullSafe(F.col("_at")))
+             .groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), F.min(_HASH[0]).alias(_HASH[0]),
+                                  F.min(_HASH[1]).alias(_HASH[1])))
+    # several versions with the same newest order: the other columns decide
+    tied = first.filter(F.col("_n") > 1).select(F.col("_key").alias("_tied"))
     rest = [c for c in spec.columns + list(spec.derived) if c != spec.change_ts]
-    return F.struct(F.col(EFFECTIVE_FROM), F.col(spec.change_ts), *[F.col(c) for c in rest])
+    full = F.struct(F.col(EFFECTIVE_FROM), F.col(spec.change_ts), *[F.col(c) for c in rest], *_HASH)
+    decided = (versions.join(tied, F.col(spec.key).eqNullSafe(F.col("_tied")), "left_semi")
+               .groupBy(spec.key).agg(F.max(full).alias("_w"))
+               .select(*[F.col(f"_w.{h}").alias(h) for h in _HASH]))
+    return first.filter(F.col("_n") == 1).select(*_HASH).unionByName(decided)
 
 
 def flag_current(versions: DataFrame, spec: EntitySpec) -> DataFrame:
     """``is_active = 1`` on the newest version of each entity key.
 
-    The key columns are required by the gate, so they are never NULL here.
+    ``versions`` as made by the version dedupe, with the version hashes.
     """
-    order = _flag_order(spec)
-    winners = (versions.groupBy(spec.key).agg(F.max(order).alias("_w"))
-               .withColumnRenamed(spec.key, "_wk"))
-    # null-safe key match: no inferred not-null filter on one branch, so both
-    # branches share the version-dedupe exchange (computed once, reused)
-    return (versions.join(winners, versions[spec.key].eqNullSafe(winners["_wk"]), "left")
-            .withColumn(IS_ACTIVE, order.eqNullSafe(F.col("_w")).cast("int"))
+    won = _winners(versions, spec).withColumn("_won", F.lit(1))
+    return (versions.join(won, list(_HASH), "left")
+            .withColumn(IS_ACTIVE, F.coalesce("_won", F.lit(0)).cast("int"))
             .select(*spec.ods_columns))
 
 
 def merge_history(ods: DataFrame, stamped: DataFrame, spec: EntitySpec) -> DataFrame:
     rows = ods.select(*spec.ods_columns[:-1]).unionByName(stamped.select(*spec.ods_columns[:-1]))
-    return flag_current(dedupe_versions(rows, spec), spec)
+    return flag_current(_hashed_versions(rows, spec), spec)
 
 
 def load_history(ods: DataFrame, staging: DataFrame, spec: EntitySpec, as_of,
@@ -105,7 +129,10 @@ def load_history(ods: DataFrame, staging: DataFrame, spec: EntitySpec, as_of,
     stamped = stamp(gate.valid_rows(staging, spec.required), spec, as_of)
     if not touched_only:
         return merge_history(ods, stamped, spec)
-    keys = bounded(stamped.select(spec.key).distinct(), BATCH_KEYS_BROADCAST_MAX_ROWS)
+    # the gated batch and its keys are written once; from their stored bytes
+    # Spark decides whether the history is only scanned or joined by a shuffle
+    stamped = materialize(stamped)
+    keys = materialize(stamped.select(spec.key).distinct())
     touched = ods.join(keys, spec.key, "left_semi")
     untouched = ods.join(keys, spec.key, "left_anti")
     return untouched.select(*spec.ods_columns).unionByName(merge_history(touched, stamped, spec))

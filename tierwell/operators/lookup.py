@@ -1,66 +1,26 @@
-"""Size-checked broadcast and the dimension lookup used by the star joins.
+"""The dimension lookup used by the star joins.
 
-A side is broadcast only after a row count proves it small: the check reads
-at most ``max_rows + 1`` rows, so it stays cheap even when the side turns out
-to be large, and a large side falls back to a shuffle join chosen by the
-planner (AQE may still convert it at runtime from measured sizes).
+A lookup joins a two-column ``(key, id)`` projection of a stored dimension.
+No size is counted here and no broadcast is forced: the dimensions are stored
+tables, so Spark knows the bytes of the two columns and broadcasts them under
+its own threshold, and AQE can still convert a shuffle join from the sizes it
+measures.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-# Two-column (key, id) dimensions up to this many rows are broadcast.
-DIM_BROADCAST_MAX_ROWS = 1_000_000
 
-
-_BOUND = "_tierwell_max_rows"
-
-
-def with_row_bound(df: DataFrame, n: int | None) -> DataFrame:
-    """Remember a proven upper bound of ``df``'s row count (None = unknown/large)."""
-    setattr(df, _BOUND, n)
-    return df
-
-
-def known_row_bound(df: DataFrame):
-    return getattr(df, _BOUND, "unknown")
-
-
-def row_count_at_most(df: DataFrame, max_rows: int) -> int | None:
-    """Row count if it is <= ``max_rows``, else None (reads <= max_rows+1 rows).
-
-    A bound recorded with :func:`with_row_bound` is used instead of counting.
-    """
-    known = known_row_bound(df)
-    if known != "unknown" and (known is None or known <= max_rows):
-        return known
-    n = df.limit(max_rows + 1).count()
-    return n if n <= max_rows else None
-
-
-def bounded(df: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``."""
-    n = row_count_at_most(df, max_rows)
-    return with_row_bound(F.broadcast(df), n) if n is not None else df
-
-
-def dim_pairs(dim: DataFrame, key: str, value: str = "id", reduce_max: bool = False,
-              max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Two-column ``(key, value)`` projection of a dimension, size-checked.
+def dim_pairs(dim: DataFrame, key: str, value: str = "id", reduce_max: bool = False) -> DataFrame:
+    """Two-column ``(key, value)`` projection of a dimension.
 
     ``reduce_max`` keeps one value per key (the highest) for dimensions whose
     lookup column is not unique on its own (city names exist per country);
     without it such a lookup would multiply fact rows.
     """
     d = dim.select(F.col(key).alias("_k"), F.col(value).alias("_v")).filter(F.col("_k").isNotNull())
-    if reduce_max:
-        d = d.groupBy("_k").agg(F.max("_v").alias("_v"))
-    # projection, filter and grouping never add rows: the dimension's bound holds
-    known = known_row_bound(dim)
-    if known != "unknown":
-        with_row_bound(d, known)
-    return bounded(d, max_rows)
+    return d.groupBy("_k").agg(F.max("_v").alias("_v")) if reduce_max else d
 
 
 def lookup(fact: DataFrame, pairs: DataFrame, fact_col: str, out_col: str) -> DataFrame:

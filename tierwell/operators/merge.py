@@ -10,23 +10,22 @@
 Both return the whole new table (the caller writes it as the next snapshot).
 The source is first reduced to one row per key (deterministically: the
 greatest row wins), so a duplicated source key never duplicates the target.
-
-Surrogate ids continue after the current maximum, in natural-key order:
-
-* ``bounded=True`` (enumerations whose domain is small by nature): one
-  global ``row_number`` over the distinct new keys;
-* otherwise a distributed numbering: range-partition + sort the new keys,
-  count rows per partition (a table with one row per partition, the only
-  thing broadcast), prefix-sum the counts and add each row's position inside
-  its partition. No single-partition step, so it holds for dimensions that
-  grow with the data (customers, phones, e-mails).
+When there is a target to compare with, the reduced source is written once
+and both the update and the insert read that table; whether a side of those
+joins is broadcast follows from the byte sizes of the stored tables.
+
+Surrogate ids continue after the current maximum, in natural-key order. The
+numbering is distributed: range-partition and sort the new keys, count the
+rows of each partition, and add each row's position inside its partition to
+the rows before it. There is no single-partition step and no size from which
+it changes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import materialize
+from ..session import known_empty, materialize
 
 
 def max_id(dst: DataFrame, id_col: str) -> int:
@@ -35,42 +34,31 @@ def max_id(dst: DataFrame, id_col: str) -> int:
     return int(value or 0)
 
 
-# new members numbered in one window when proven to be at most this many
-SMALL_BATCH_MAX_ROWS = 1_000_000
-
-
-def assign_ids(df: DataFrame, order_cols, start: int = 0, id_col: str = "id",
-               bounded: bool | None = None) -> DataFrame:
-    """Add ``id_col`` = start + 1, start + 2, ... in ascending ``order_cols`` order.
+def numbered(df: DataFrame, order_cols, out: str = "id") -> DataFrame:
+    """Add ``out`` = 1, 2, ... in ascending ``order_cols`` order (NULLs first).
 
-    ``order_cols`` must identify a row (natural key) for the numbering to be
-    deterministic. ``bounded=None`` decides from a bounded row count: a batch
-    of new members proven small is numbered by one window, anything larger by
-    the distributed partition-offset numbering.
+    ``order_cols`` must identify a row for the numbering to be deterministic.
+    The ordered rows are written once, so the partition-dependent positions
+    are evaluated exactly once; only one count per partition is collected.
     """
     order_cols = list(order_cols)
-    if bounded is None:
-        from .lookup import row_count_at_most
-        bounded = row_count_at_most(df, SMALL_BATCH_MAX_ROWS) is not None
-    if bounded:
-        w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
-        return df.withColumn(id_col, (F.row_number().over(w) + F.lit(start)).cast("long"))
-    spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order_cols)
-              .sortWithinPartitions(*order_cols)
-              .withColumn("_p", F.spark_partition_id())
-              .withColumn("_m", F.monotonically_increasing_id()))
-    # one evaluation of the partition-dependent columns, reused by both branches
-    ranged = materialize(ranged)
-    counts = ranged.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"), F.min("_m").alias("_m0"))
-    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_p", "_m0", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    # at most one row per shuffle partition: a proven bound for the broadcast
-    return (ranged.join(F.broadcast(offsets), "_p")
-            .withColumn(id_col, (F.lit(start) + F.col("_off") + F.col("_m") - F.col("_m0") + 1)
-                        .cast("long"))
-            .drop("_p", "_m", "_m0", "_off"))
+    ranged = materialize(df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
+                         .withColumn("_m", F.monotonically_increasing_id()))
+    part = F.shiftright("_m", 33)
+    counts = {r["p"]: r["n"] for r in
+              ranged.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    before, total = [], 0
+    for p in range(max(counts, default=-1) + 1):
+        before.append(total)
+        total += counts.get(p, 0)
+    start = F.get(F.array(*[F.lit(b).cast("long") for b in before or [0]]), part.cast("int"))
+    inside = F.col("_m").bitwiseAND(F.lit((1 << 33) - 1))
+    return ranged.withColumn(out, (start + inside + 1).cast("long")).drop("_m")
+
+
+def assign_ids(df: DataFrame, order_cols, start: int = 0, id_col: str = "id") -> DataFrame:
+    """Add ``id_col`` = start + 1, start + 2, ... in ascending ``order_cols`` order."""
+    return numbered(df, order_cols, id_col).withColumn(id_col, F.col(id_col) + F.lit(int(start)))
 
 
 def one_per_key(src: DataFrame, keys) -> DataFrame:
@@ -83,80 +71,72 @@ def one_per_key(src: DataFrame, keys) -> DataFrame:
             .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest]))
 
 
-# a source (batch) proven to have at most this many rows is broadcast, so the
-# target table is only scanned, never shuffled, by the upsert
-SMALL_SOURCE_MAX_ROWS = 2_000_000
-
-
-def _known_empty(dst: DataFrame) -> bool:
-    from .lookup import known_row_bound
-    return known_row_bound(dst) == 0
+def newest_of_colliding(df: DataFrame, keys: dict[str, Column], order: list[str]) -> DataFrame:
+    """Keep one row per key (``order`` descending, NULLs last) where keys collide.
 
-
-def _small(src: DataFrame, small_src: bool | None) -> bool:
-    if small_src is None:
-        from .lookup import row_count_at_most
-        return row_count_at_most(src, SMALL_SOURCE_MAX_ROWS) is not None
-    return small_src
+    For wide rows whose keys hardly ever collide: the keys are counted without
+    the rest of the row, and only rows under colliding keys are compared. The
+    wide rows themselves are filtered against that table, not reduced, so they
+    move only if Spark finds the table too large to broadcast. The order must
+    tell rows apart.
+    """
+    named = df.select(*[c.alias(k) for k, c in keys.items()], *order)
+    often = (named.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+             .select(*keys))
+    first = materialize(named.join(often, list(keys), "left_semi").groupBy(*keys)
+                        .agg(F.max(F.struct(*order)).alias("_first"))
+                        .select(*[F.col(k).alias(f"_c_{k}") for k in keys], "_first"))
+    match = None
+    for k, c in keys.items():
+        same = c == F.col(f"_c_{k}")
+        match = same if match is None else match & same
+    return (df.join(first, match, "left")
+            .filter(F.col("_first").isNull() | F.col("_first").eqNullSafe(F.struct(*order)))
+            .drop("_first", *[f"_c_{k}" for k in keys]))
+
+
+def _prepared(dst: DataFrame, src: DataFrame, keys, src_unique: bool) -> DataFrame:
+    src = src if src_unique else one_per_key(src, keys)
+    # an empty target needs one evaluation only; else the source is written once
+    return src if known_empty(dst) else materialize(src)
 
 
-def _new_rows(dst: DataFrame, src: DataFrame, keys, id_col, order_cols, bounded, start,
-              small_src: bool = False):
-    if small_src:
-        # keys of the (small) source that already exist: found by scanning the
-        # target against a broadcast of the source keys; at most |src| rows
-        src_keys = F.broadcast(src.select(*keys))
-        matched = F.broadcast(dst.select(*keys).join(src_keys, list(keys), "left_semi"))
-        new = src.join(matched, list(keys), "left_anti")
-    else:
-        new = src.join(dst.select(*keys), list(keys), "left_anti")
+def _new_rows(dst: DataFrame, src: DataFrame, keys, id_col, order_cols, start):
+    new = src if known_empty(dst) else src.join(dst.select(*keys), list(keys), "left_anti")
     if id_col is None:
         return new
-    start = max_id(dst, id_col) if start is None else start
-    return assign_ids(new, order_cols or keys, start, id_col, bounded)
+    if start is None:
+        start = 0 if known_empty(dst) else max_id(dst, id_col)
+    return assign_ids(new, order_cols or keys, start, id_col)
 
 
 def insert_new(dst: DataFrame, src: DataFrame, keys, id_col: str | None = "id",
-               order_cols=None, bounded: bool | None = None, src_unique: bool = False,
-               start: int | None = None, small_src: bool | None = None) -> DataFrame:
+               order_cols=None, src_unique: bool = False, start: int | None = None) -> DataFrame:
     """M2: append source rows whose key is not in ``dst``.
 
-    ``start`` is the current maximum id when the caller knows it (0 for an
-    empty table); otherwise it is read from ``dst``. ``small_src=None``
-    decides from a bounded count whether the source can be broadcast.
+    ``start`` is the current maximum id when the caller knows it; otherwise
+    it is read from ``dst``.
     """
     keys = list(keys)
-    src = src if src_unique else one_per_key(src, keys)
-    if _known_empty(dst):
-        start = 0
-    new = _new_rows(dst, src, keys, id_col, order_cols, bounded, start,
-                    start != 0 and _small(src, small_src))
+    src = _prepared(dst, src, keys, src_unique)
+    new = _new_rows(dst, src, keys, id_col, order_cols, start)
     return dst.unionByName(new.select(*dst.columns))
 
 
 def upsert(dst: DataFrame, src: DataFrame, keys, update_cols, id_col: str | None = "id",
-           order_cols=None, bounded: bool | None = None, src_unique: bool = False,
-           start: int | None = None, small_src: bool | None = None) -> DataFrame:
-    """M3: update ``update_cols`` of matched keys, append unmatched source rows.
-
-    With a small source (proven by a bounded count, or ``small_src=True``) the
-    changes are broadcast: the target is scanned once and not shuffled. A
-    large source joins by a shuffle on the keys.
-    """
+           order_cols=None, src_unique: bool = False, start: int | None = None) -> DataFrame:
+    """M3: update ``update_cols`` of matched keys, append unmatched source rows."""
     keys = list(keys)
     update_cols = [c for c in update_cols if c not in keys]
-    src = src if src_unique else one_per_key(src, keys)
-    if _known_empty(dst):
-        start = 0                                   # nothing to match, ids from 1
-    small = start != 0 and _small(src, small_src)   # start 0: empty target
+    src = _prepared(dst, src, keys, src_unique)
+    new = _new_rows(dst, src, keys, id_col, order_cols, start).select(*dst.columns)
+    if known_empty(dst):
+        return dst.unionByName(new)
     changes = src.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in update_cols],
                          F.lit(True).alias("_hit"))
-    if small:
-        changes = F.broadcast(changes)
     kept = dst.join(changes, keys, "left").select(*[
         F.when(F.col("_hit"), F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c)
         if c in update_cols else F.col(c)
         for c in dst.columns
     ])
-    new = _new_rows(dst, src, keys, id_col, order_cols, bounded, start, small)
-    return kept.unionByName(new.select(*dst.columns))
+    return kept.unionByName(new)

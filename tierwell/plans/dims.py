@@ -147,45 +147,31 @@ def enum_dim(name: str, values, current: DataFrame | None = None) -> DataFrame:
                             src_unique=True, start=_start(current))
 
 
-# enumerations up to this many distinct values in total are numbered together
-ENUM_JOINT_MAX_ROWS = 1_000_000
-
-
-def enum_dims(values, current: dict[str, DataFrame] | None = None,
-              max_rows: int = ENUM_JOINT_MAX_ROWS) -> DataFrame:
+def enum_dims(values, current: DataFrame | None = None) -> DataFrame:
     """All enumeration dimensions in one plan, as one (dim, id, value) table.
 
-    Same result per dimension as :func:`enum_dim`: values not yet present get
-    ids after that dimension's current maximum, in value order. The window is
-    partitioned by dimension name (a handful of partitions, each holding one
-    enumeration's distinct values), and the per-dimension maxima are a table
-    with one row per dimension (the only broadcast). The joint numbering is
-    used only when the distinct values are proven to be at most ``max_rows``;
-    beyond that each dimension is numbered on its own with the distributed
-    id assignment.
+    Same result per dimension as :func:`enum_dim`: values not yet present
+    (``current`` is the joint table so far) get ids after that dimension's
+    current maximum, in value order. The new values of all dimensions are
+    numbered at once by the distributed numbering over (dim, value); a
+    dimension's first number (one row per dimension) is then subtracted.
     """
-    from pyspark.sql import Window
-    from ..operators.lookup import row_count_at_most
     values = _as_values(values)
     frames = [values.table(entity).filter(F.col("column") == col)
               .select(F.lit(name).alias("dim"), "value")
               for name, (_, sources) in ENUMS.items() for entity, col in sources]
     vals = _values(frames).distinct()
-    if row_count_at_most(vals, max_rows) is None:
-        return _values([enum_dim(n, values, None if not current else current.get(n))
-                        .select(F.lit(n).alias("dim"), "id", F.col(ENUMS[n][0]).alias("value"))
-                        for n in ENUMS])
-    order = Window.partitionBy("dim").orderBy("value")
-    if not current:
-        return vals.select("dim", F.row_number().over(order).cast("long").alias("id"), "value")
-    cur = _values([df.select(F.lit(n).alias("dim"), "id", F.col(ENUMS[n][0]).alias("value"))
-                   for n, df in current.items()])
-    new = vals.join(cur.select("dim", "value"), ["dim", "value"], "left_anti")
-    starts = cur.groupBy("dim").agg(F.max("id").alias("_start"))
-    new = (new.join(F.broadcast(starts), "dim", "left")
-           .select("dim", (F.coalesce(F.col("_start"), F.lit(0)) + F.row_number().over(order))
-                   .cast("long").alias("id"), "value"))
-    return cur.unionByName(new)
+    if current is not None:
+        vals = vals.join(current.select("dim", "value"), ["dim", "value"], "left_anti")
+    placed = merge.numbered(vals, ["dim", "value"], "_at")
+    first = placed.groupBy("dim").agg((F.min("_at") - 1).alias("_before"))
+    if current is not None:
+        last = current.groupBy("dim").agg(F.max("id").alias("_last"))
+        first = first.join(last, "dim", "left").select(
+            "dim", (F.col("_before") - F.coalesce("_last", F.lit(0))).alias("_before"))
+    new = placed.join(first, "dim").select(
+        "dim", (F.col("_at") - F.col("_before")).cast("long").alias("id"), "value")
+    return new if current is None else current.select("dim", "id", "value").unionByName(new)
 
 
 def split_enum(all_enums: DataFrame, name: str) -> DataFrame:
@@ -212,7 +198,7 @@ def client_dim(ods_case: DataFrame, current: DataFrame | None = None) -> DataFra
         .otherwise(1).alias("is_active"),
     )
     return merge.upsert(_state(spark, "spr_client", current), src, ["client"],
-                        ["client_name", "is_util", "is_active"], bounded=True, src_unique=True,
+                        ["client_name", "is_util", "is_active"], src_unique=True,
                         start=_start(current))
 
 
@@ -235,7 +221,7 @@ def upsert_accounts(accounts: DataFrame, current: DataFrame | None = None,
     src = (accounts.distinct().select(F.col("value").alias("username"))
            .withColumn("fullname", account_fullname("username")))
     return merge.upsert(_state(spark, "spr_agent", current), src, ["username"],
-                        ["fullname"], bounded=True, src_unique=True, start=_start(current))
+                        ["fullname"], src_unique=True, start=_start(current))
 
 
 CUSTOMER_UPDATE = ["spr_customer_type_id", "last_name", "first_name", "middle_name",
@@ -278,8 +264,7 @@ def customer_dim(ods_address: DataFrame, spr_client: DataFrame, spr_customer_typ
 
 def customer_addresses(spr_customer: DataFrame, spr_client: DataFrame) -> DataFrame:
     """(spr_customer_id, address_id, client) of every customer."""
-    from ..operators.lookup import bounded
-    clients = bounded(spr_client.select(F.col("id").alias("spr_client_id"), "client"))
+    clients = spr_client.select(F.col("id").alias("spr_client_id"), "client")
     return (spr_customer.select(F.col("id").alias("spr_customer_id"), "address_id", "spr_client_id")
             .join(clients, "spr_client_id").drop("spr_client_id"))
 
@@ -341,11 +326,11 @@ def currency_dim(stg_currency: DataFrame, values,
     listed = (listed.groupBy("code").agg(F.min(F.struct("eng_name", "rus_name")).alias("_n"))
               .select("code", "_n.eng_name", "_n.rus_name"))
     dim = merge.insert_new(_state(spark, "spr_currency", current), listed, ["code"],
-                           bounded=True, src_unique=True, start=_start(current))
+                           src_unique=True, start=_start(current))
     seen = (values.of("request", "commission_currency", "reporting_currency")
             .select(F.col("value").alias("code"), F.lit(None).cast("string").alias("eng_name"),
                     F.lit(None).cast("string").alias("rus_name")))
-    return merge.insert_new(dim, seen, ["code"], bounded=True, src_unique=True)
+    return merge.insert_new(dim, seen, ["code"], src_unique=True)
 
 
 def country_dim(values, current: DataFrame | None = None) -> DataFrame:
@@ -356,13 +341,13 @@ def country_dim(values, current: DataFrame | None = None) -> DataFrame:
     first = (values.of("request", "event_country")
              .select(F.col("value").alias("code"), none.alias("name_eng"), none.alias("name_rus")))
     dim = merge.insert_new(_state(spark, "spr_country", current), first, ["code"],
-                           bounded=True, src_unique=True, start=_start(current))
+                           src_unique=True, start=_start(current))
     prefixes = (values.of("request", "event_city")
                 .select(F.col("value").substr(1, 3).alias("code"))
                 .unionByName(spark.range(1).select(F.lit(specs.OTHER_COUNTRY).alias("code")))
                 .distinct()
                 .select("code", none.alias("name_eng"), none.alias("name_rus")))
-    return merge.insert_new(dim, prefixes, ["code"], bounded=True, src_unique=True)
+    return merge.insert_new(dim, prefixes, ["code"], src_unique=True)
 
 
 def city_dim(values, spr_country: DataFrame,
@@ -380,5 +365,5 @@ def city_dim(values, spr_country: DataFrame,
            .select("name_eng", F.lit(None).cast("string").alias("name_rus"),
                    F.col("_v").alias("spr_country_id")))
     return merge.insert_new(_state(spark, "spr_city", current), src,
-                            ["name_eng", "spr_country_id"], bounded=True, src_unique=True,
+                            ["name_eng", "spr_country_id"], src_unique=True,
                             start=_start(current))

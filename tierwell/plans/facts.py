@@ -1,10 +1,15 @@
 """Fact builds D23 (request fact), D24 (RSO blanking) and D25 (case fact).
 
 The request fact is a star lookup: every dimension is reduced to a two-column
-(key, id) table, size-checked and broadcast, so the fact side is never
-shuffled for the 18 lookups and they all run inside one codegen stage. The
+(key, id) table that Spark broadcasts by its stored size, so the fact side is
+not shuffled for the 18 lookups and they all run inside one codegen stage. The
 upsert keys of the facts are their natural keys; facts carry no sequential
 id (that would need one global numbering of the largest table).
+
+The fact keys drop the prefix of the business key, so two active entities can
+share a fact key (K20). The newest delivery wins: latest ``effective_from``,
+then change timestamp, then business key. That is settled before the lookups,
+on the keys alone; the wide rows are only filtered.
 """
 
 from __future__ import annotations
@@ -14,8 +19,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from .. import specs
 from ..functions import keys as K
 from ..operators import merge
-from ..operators.lookup import bounded, dim_pairs, lookup
-from ..specs import IS_ACTIVE
+from ..operators.lookup import dim_pairs, lookup
+from ..specs import EFFECTIVE_FROM, IS_ACTIVE
 
 REQUEST_FACT_COLUMNS = [
     "added_dt", "booking_channel", "changed_dt", "commission_charged", "confirmation_number",
@@ -88,6 +93,9 @@ def request_fact_source(ods_request: DataFrame, dims: dict[str, DataFrame]) -> D
     """Active requests (not of an 'O ...' type) with all 18 dimension ids."""
     base = ods_request.filter((F.col(IS_ACTIVE) == 1)
                               & ~K.ilike_prefix("request_type", specs.EXCLUDED_TYPE_LIKE))
+    base = merge.newest_of_colliding(
+        base, {"request_number": K.request_number("global_request_number")},
+        [EFFECTIVE_FROM, specs.REQUEST.change_ts, "global_request_number"])
     pairs: dict[tuple[str, str], DataFrame] = {}
     out = base
     for fact_col, dim, key, id_col in REQUEST_LOOKUPS:
@@ -111,7 +119,7 @@ def build_request_fact(ods_request: DataFrame, dims: dict[str, DataFrame],
     src = request_fact_source(ods_request, dims)
     dst = empty_request_fact(spark) if current is None else current
     update = [c for c in REQUEST_FACT_COLUMNS if c != "request_number"]
-    return merge.upsert(dst, src, ["request_number"], update, id_col=None)
+    return merge.upsert(dst, src, ["request_number"], update, id_col=None, src_unique=True)
 
 
 def blank_rso(fct_request: DataFrame, spr_request_type: DataFrame) -> DataFrame:
@@ -124,7 +132,6 @@ def blank_rso(fct_request: DataFrame, spr_request_type: DataFrame) -> DataFrame:
         F.col("type").isin(*specs.RSO_BLACKLIST)
         | K.ilike_prefix("type", specs.RSO_BLACKLIST_LIKE)
     ).select(F.col("id").alias("_bad_id"), F.lit(True).alias("_bad"))
-    bad = bounded(bad)
     cols = fct_request.columns
     return (fct_request.join(bad, fct_request["spr_rso_id"] == bad["_bad_id"], "left")
             .withColumn("spr_rso_id", F.when(F.col("_bad"), F.lit(None).cast("long"))
@@ -154,7 +161,12 @@ def case_fact_source(ods_case: DataFrame, fct_request: DataFrame, dims: dict[str
     ``source_from="method"`` fills ``spr_source_id`` from the contact-method
     dimension, as the original load did; ``"source"`` uses the source one.
     """
-    cases = (ods_case.filter(F.col(IS_ACTIVE) == 1)
+    active = merge.newest_of_colliding(
+        ods_case.filter(F.col(IS_ACTIVE) == 1),
+        {"case_number": K.case_number("global_case_number"),
+         "case_client": K.client_of_case("global_case_number")},
+        [EFFECTIVE_FROM, specs.CASE.change_ts, "global_case_number"])
+    cases = (active
              .select(K.case_number("global_case_number").alias("case_number"),
                      K.client_of_case("global_case_number").alias("client"),
                      K.case_key("global_case_number").alias("_case_key"),
@@ -176,7 +188,6 @@ def case_fact_source(ods_case: DataFrame, fct_request: DataFrame, dims: dict[str
                        F.col("spr_client_id") == F.col("_k"))
                  .select(F.col("_v").alias("_c_client"), F.col("address_id").alias("_c_addr"),
                          F.col("id").alias("spr_customer_id")))
-    customers = bounded(customers)
     out = out.join(customers, (out["client"] == customers["_c_client"])
                    & (out["case_address_id"] == customers["_c_addr"]), "left")
     out = lookup(out, dim_pairs(dims["spr_status"], "status"), "case_status", "spr_status_id")
@@ -201,4 +212,4 @@ def build_case_fact(ods_case: DataFrame, fct_request: DataFrame, dims: dict[str,
     dst = empty_case_fact(spark) if current is None else current
     keys = ["case_number", "spr_client_id"]
     return merge.upsert(dst, src, keys, [c for c in CASE_FACT_COLUMNS if c not in keys],
-                        id_col=None)
+                        id_col=None, src_unique=True)

@@ -49,9 +49,7 @@ def run_batch(spark: SparkSession, store: SnapshotStore, batch: dict[str, DataFr
 
     # 2. dimensions
     values = D.ColumnValues(ods, keep=materialize)
-    old_enums = store.read("spr_enums")
-    current_enums = None if old_enums is None else {n: D.split_enum(old_enums, n) for n in D.ENUMS}
-    enums = store.write("spr_enums", D.enum_dims(values, current_enums))
+    enums = store.write("spr_enums", D.enum_dims(values, store.read("spr_enums")))
     dims = {n: D.split_enum(enums, n) for n in D.ENUMS}
     if stg_currency is None:
         from ..sources.fixtures import stg_currency as default_currency

@@ -6,9 +6,9 @@ spine x plan cross product):
 * one pass over the fact: ``groupBy(client, day)`` with five conditional
   counts, partial aggregation map-side (a hot client collapses before the
   shuffle);
-* the act types are resolved through a broadcast of the tiny act dimension;
+* the act types are resolved through the tiny act dimension;
 * the plan is joined on ``client`` with the half-open date interval as an
-  extra join condition (broadcast, size-checked) - no day explosion;
+  extra join condition - no day explosion;
 * monthly totals and the previous-month value are computed on the small
   (client, month) table and broadcast back.
 
@@ -26,7 +26,6 @@ from ..functions import keys as K
 from ..functions.dates import (as_date, days_in_month, days_in_prev_month, end_of_month,
                                month_label, yesterday_day)
 from ..operators.frames import previous_value
-from ..operators.lookup import bounded
 
 PIVOT_COLUMNS = ["date", "month", "client", "cm", "rso", "util_rso", "act", "dp", "cm_rso_act",
                  "target_monthly", "total", "total_with_dp", "prev_month_total",
@@ -41,7 +40,7 @@ def daily_metrics(fct_request: DataFrame, spr_client: DataFrame, spr_act: DataFr
     rso/act/dp overlap (each has its own predicate); cm is the remainder with
     neither a counted act nor an RSO. A (client, day) without cm is dropped.
     """
-    acts = bounded(spr_act.filter(F.col("act_type").isin(specs.ACT_YES, specs.ACT_DRAGON_PASS))
+    acts = (spr_act.filter(F.col("act_type").isin(specs.ACT_YES, specs.ACT_DRAGON_PASS))
                    .select(F.col("id").alias("_act_id"), F.col("act_type").alias("_act")))
     lo = as_date(start).cast("timestamp_ntz")
     hi = F.date_add(end_of_month(as_of), 1).cast("timestamp_ntz")
@@ -56,7 +55,7 @@ def daily_metrics(fct_request: DataFrame, spr_client: DataFrame, spr_act: DataFr
         F.count_if(F.col("_act") == specs.ACT_YES).alias("act"),
         F.count_if(F.col("_act") == specs.ACT_DRAGON_PASS).alias("dp"),
     ).filter(F.col("cm") > 0))
-    util = bounded(spr_client.select(F.col("client").alias("_u_client"), "is_util"))
+    util = spr_client.select(F.col("client").alias("_u_client"), "is_util")
     per_day = per_day.join(util, per_day["client"] == util["_u_client"], "left")
     return per_day.select(
         "date", "client", "cm", "rso",
@@ -66,7 +65,7 @@ def daily_metrics(fct_request: DataFrame, spr_client: DataFrame, spr_act: DataFr
 
 def daily_pivot(metrics: DataFrame, plan: DataFrame) -> DataFrame:
     """Metrics x plan target, monthly totals, previous month and forecast."""
-    p = bounded(plan.select(F.col("client").alias("_p_client"), F.col("target").alias("target_monthly"),
+    p = (plan.select(F.col("client").alias("_p_client"), F.col("target").alias("target_monthly"),
                             F.col("effective_from").alias("_p_from"),
                             F.col("effective_to").alias("_p_to")))
     cond = ((metrics["client"] == p["_p_client"]) & (metrics["date"] >= p["_p_from"])
@@ -154,7 +153,7 @@ def daily_stats(pivot: DataFrame, window) -> DataFrame:
 
 def plan_fact(pivot: DataFrame, spr_client: DataFrame, window, as_of) -> DataFrame:
     """Plan versus fact for utilisation clients, with the daily need."""
-    util = bounded(spr_client.filter(F.col("is_util") == 1).select("client"))
+    util = spr_client.filter(F.col("is_util") == 1).select("client")
     v = _window(pivot, window).join(util, "client", "left_semi")
     g = v.groupBy("client", "target_monthly").agg(
         F.sum("cm_rso_act").alias("fact"),

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import specs
 from ..operators import gate, history
-from ..operators.lookup import with_row_bound
 from ..operators.spine import date_spine, plan_by_day
 from ..session import materialize
 from ..sources import fixtures as fx
@@ -42,11 +41,6 @@ class Warehouse:
     def _keep(self, df: DataFrame) -> DataFrame:
         return materialize(df) if self._checkpoint else df
 
-    def _keep_small(self, df: DataFrame) -> DataFrame:
-        """Materialise a dimension and record its row count (the broadcast check)."""
-        df = self._keep(df)
-        return with_row_bound(df, df.count())
-
     # --- staging ---------------------------------------------------------
     @cached_property
     def stg_case(self) -> DataFrame:
@@ -121,10 +115,6 @@ class Warehouse:
         """All enumeration dimensions, built together (dim, id, value)."""
         return self._keep(D.enum_dims(self.values))
 
-    @cached_property
-    def enum_rows(self) -> int:
-        return self.enums.count()
-
     @cached_property
     def dims(self) -> dict[str, DataFrame]:
         return _LazyDims(self)
@@ -154,7 +144,7 @@ class Warehouse:
             if name.startswith("_values_"):
                 self.values.table(name[len("_values_"):])
             elif name == "_enums":
-                self.enum_rows                                  # noqa: B018
+                self.enums                                      # noqa: B018
             else:
                 self.dims[name]                                 # noqa: B018
 
@@ -219,8 +209,7 @@ class _LazyDims(dict):
     def __missing__(self, name: str) -> DataFrame:
         wh = self._wh
         if name in D.ENUMS:
-            df = D.split_enum(wh.enums, name)
-            self[name] = with_row_bound(df, wh.enum_rows)
+            df = self[name] = D.split_enum(wh.enums, name)
             return df
         elif name == "spr_client":
             df = D.client_dim(wh.ods_case)
@@ -241,6 +230,6 @@ class _LazyDims(dict):
             df = D.city_dim(wh.values, self["spr_country"])
         else:
             raise KeyError(name)
-        df = wh._keep_small(df)
+        df = wh._keep(df)
         self[name] = df
         return df

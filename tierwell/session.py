@@ -84,9 +84,16 @@ def empty_frame(spark: SparkSession, schema) -> DataFrame:
     planning time; ``createDataFrame([])`` would be an opaque RDD scan.
     """
     from pyspark.sql import functions as F
-    from .operators.lookup import with_row_bound
     df = (spark.range(1)
           .select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
           .where(F.lit(False)))
-    return with_row_bound(df, 0)
+    setattr(df, _EMPTY, True)
+    return df
 
+
+_EMPTY = "_tierwell_empty"
+
+
+def known_empty(df: DataFrame) -> bool:
+    """Whether ``df`` was made by :func:`empty_frame` (nothing is counted)."""
+    return getattr(df, _EMPTY, False)
