@@ -6,8 +6,8 @@ they are; neighbouring windows mostly share theirs and form a *segment*.
 
 1. Documents are cut into blocks, written once as a table bucketed by block.
    A block sends the distinct minimizers of its windows, packed, to buckets.
-2. A bucket counts them over all blocks and answers with bits: repeated or
-   not, and whether very frequent. No repeated window can hide behind a
+2. A bucket counts their places over all blocks and answers with bits:
+   repeated or not, and whether very frequent. No repeated window can hide behind a
    minimizer that occurs once.
 3. A block sends its segments under repeated minimizers to the shard of the
    minimizer; equal segments of a block are sent once, and the others are
@@ -37,12 +37,16 @@ from .common import (SPACE, block_words, blocks, checkpointed, colocated, id_and
 from .fmindex import FMIndex
 
 WINDOW, GRAM = 20, 6
-#: Windows of a segment at most; occurrences from which a minimizer counts as very frequent.
+#: Windows of a segment at most; places from which a minimizer counts as very frequent.
 SEGMENT, FREQUENT = 64, 1000
 
 
 def _block_windows(texts: list[str], window: int):
-    """(first word of each text, start of each window, its minimizer, its content hash)."""
+    """(first word of each text, start of each window, its minimizer, its content hash, places of minimizers).
+
+    The last holds a minimizer once for every place in the texts at which it
+    is one; a run of neighbouring windows over one place counts as one.
+    """
     raw, starts, ends, begin = block_words(texts)
     word = span_hashes(raw, starts, ends)
     n = len(word)
@@ -50,26 +54,35 @@ def _block_windows(texts: list[str], window: int):
     runs = window - gram + 1
     if n < window:
         empty = np.empty(0, dtype=np.int64)
-        return begin, empty, empty.astype(np.uint64), empty.astype(np.uint64)
+        return begin, empty, *[empty.astype(np.uint64)] * 3
     hashed = word[:n - gram + 1].copy()
     for k in range(1, gram):
         hashed = mix64(hashed * np.uint64(0x9E3779B97F4A7C15) + word[k:n - gram + 1 + k])
-    low, width = hashed, 1
-    while width < runs:
-        step = min(width, runs - width)
-        low = np.minimum(low[:len(low) - step], low[step:])
-        width += step
+    low = _sliding(np.minimum, hashed, runs)
     whole = word[:n - window + 1].copy()
     for k in range(1, window):
         whole = whole * np.uint64(0xC2B2AE3D27D4EB4F) + word[k:n - window + 1 + k]
     doc = np.searchsorted(begin, np.arange(n - window + 1), side="right") - 1
-    at = np.flatnonzero(np.arange(n - window + 1) + window <= begin[doc + 1])
-    return begin, at, low[at], mix64(whole[at])
+    inside = np.arange(n - window + 1) + window <= begin[doc + 1]
+    at = np.flatnonzero(inside)
+    edge = np.zeros(runs - 1, dtype=np.uint64)
+    reach = _sliding(np.maximum, np.concatenate((edge, np.where(inside, low, np.uint64(0)), edge)), runs)
+    return begin, at, low[at], mix64(whole[at]), hashed[reach == hashed]
+
+
+def _sliding(best, values: np.ndarray, width: int) -> np.ndarray:
+    """Least or greatest of every ``width`` neighbours, by doubling."""
+    done = 1
+    while done < width:
+        step = min(done, width - done)
+        values = best(values[:len(values) - step], values[step:])
+        done += step
+    return values
 
 
-def _bucket_lists(low: np.ndarray, buckets: int):
+def _bucket_lists(places: np.ndarray, buckets: int):
     """Distinct minimizers by bucket, ascending: (bucket, minimizers, counts)."""
-    value, count = np.unique(low, return_counts=True)
+    value, count = np.unique(places, return_counts=True)
     bucket = (value & np.uint64(0xFFFFFFFF)).astype(np.int64) % buckets
     order = np.lexsort((value, bucket))
     cut = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=buckets))
@@ -115,9 +128,9 @@ def _segments(window: int, buckets: int, shards: int, schema: pa.Schema):
         bits = {r["bucket"]: r["bits"] for r in answers.select(["bucket", "bits"]).to_pylist()}
         for row in docs.select(["block", "ids", "counts", "data"]).to_pylist():
             texts = _texts(row)
-            begin, at, low, whole = _block_windows(texts, window)
+            begin, at, low, whole, places = _block_windows(texts, window)
             flagged = [np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.uint64)]
-            for bucket, value, _ in _bucket_lists(low, buckets):
+            for bucket, value, _ in _bucket_lists(places, buckets):
                 flag = np.unpackbits(np.frombuffer(bits[bucket], np.uint8), count=2 * len(value)).reshape(2, -1)
                 flagged = [np.concatenate((f, value[b > 0])) for f, b in zip(flagged, flag)]
             again, frequent = np.isin(low, flagged[0]), np.isin(low, flagged[1])
@@ -299,9 +312,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
             out = [{"block": block, "bucket": -1, "ids": ids, "counts": pack([len(p) for p in parts]),
                     "data": zstandard.compress(b"".join(parts), 3)}]
             del parts
-            _, _, low, _ = _block_windows(texts, window)
+            places = _block_windows(texts, window)[-1]
             out += [{"block": block, "bucket": b, "ids": None, "counts": pack(c), "data": _pack64(v)}
-                    for b, v, c in _bucket_lists(low, many)]
+                    for b, v, c in _bucket_lists(places, many)]
             yield pa.RecordBatch.from_pylist(out, schema=arrow)
 
     made = colocated(rows.mapInArrow(cut, fields), "block")
