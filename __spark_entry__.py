@@ -154,6 +154,49 @@ def _reference_list(spark, sf_dir):
     return reference_list(extract_tables(fx.nation_pages(spark, sf_dir)))
 
 
+def _rejects_two_batches(spark, sf_dir):
+    # the second batch is stored twice, as a rerun would: its rows are replaced
+    from tierwell.sources.store import scratch_dir, write_batch
+    base, C = scratch_dir(spark, "rejects"), specs.CASE
+    for batch, number in (("one", 1), ("two", 2), ("two", 2)):
+        write_batch(gate.rejected_rows(fx.stg_case(spark, sf_dir, number), C.required).select(*C.columns),
+                    base, "rejected_stg_case", batch)
+    return spark.read.parquet(f"{base}/rejected_stg_case").select(*C.columns, "batch")
+
+
+def _date_spine(spark, sf_dir):
+    from tierwell.operators.spine import spine_of
+    return spine_of(spark.read.parquet(f"{sf_dir}/orders.parquet"), "o_orderdate")
+
+
+def _pivot_view(spark, sf_dir):
+    from tierwell.plans.reports import register_pivot_view
+    name = register_pivot_view(Warehouse(spark, sf_dir).pivot)
+    return spark.sql(f"select client, count(*) as n_days, sum(total) as totals from {name} group by client")
+
+
+def _ingest_xlsx(spark, sf_dir):
+    from tierwell.sources.ingest import read_files
+    from tierwell.sources.store import scratch_dir
+    books = fx.nation_workbooks(spark, sf_dir, scratch_dir(spark, "xlsx"))
+    return read_files(spark, books, "xlsx", usecols="A:D", sheet="Nations").select(
+        "nation_key", "nation_name", "is_even", "region_key")
+
+
+def _reference_list_saved(spark, sf_dir):
+    from tierwell.sources.html_tables import extract_tables, reference_list
+    from tierwell.sources.store import load_layer, scratch_dir
+    return load_layer(reference_list(extract_tables(fx.nation_pages(spark, sf_dir))), "currency",
+                      scratch_dir(spark, "layer"))
+
+
+def _table_copy_other_store(spark, sf_dir):
+    from tierwell.sources.copy import copy_tables
+    from tierwell.sources.store import scratch_dir
+    return copy_tables(spark, ["region", "nation"], sf_dir, scratch_dir(spark, "copy"), dst_fmt="csv",
+                       dst_options={"header": "true", "sep": "|"})
+
+
 COPY_TABLES = ["region", "nation", "customer", "orders", "lineitem"]
 
 
@@ -178,6 +221,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "request_rejected": _rejected(_stg_request, R),
         "address_valid": _valid(_stg_address, A),
         "address_rejected": _rejected(_stg_address, A),
+        "rejects_two_batches": _rejects_two_batches,
         # M1 (W1 W2 M4): versioned history
         "ods_case": lambda s, d: Warehouse(s, d).ods_case.select(*C.ods_columns),
         "ods_request": lambda s, d: Warehouse(s, d).ods_request.select(*R.ods_columns),
@@ -203,12 +247,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fact_request_rso_blanked": lambda s, d: Warehouse(s, d).fct_request.select(
             *FA.REQUEST_FACT_COLUMNS),
         "fact_case": lambda s, d: Warehouse(s, d).fct_case.select(*FA.CASE_FACT_COLUMNS),
+        "fact_request_second_load": lambda s, d: Warehouse(s, d).fct_request_second.select(
+            *FA.REQUEST_FACT_COLUMNS),
+        "fact_case_second_load": lambda s, d: Warehouse(s, d).fct_case_second.select(
+            *FA.CASE_FACT_COLUMNS),
         # reports
-        "date_spine": lambda s, d: Warehouse(s, d).spine,
+        "date_spine": _date_spine,
         "plan_by_day": lambda s, d: Warehouse(s, d).plan_days,
         "daily_metrics": lambda s, d: Warehouse(s, d).metrics,
         "prev_group_first": _prev_group_first,
         "daily_pivot": lambda s, d: Warehouse(s, d).pivot,
+        "pivot_view": _pivot_view,
         "client_summary": lambda s, d: Warehouse(s, d).client_summary(),
         "daily_stats": lambda s, d: Warehouse(s, d).daily_stats(),
         "plan_fact": lambda s, d: Warehouse(s, d).plan_fact(),
@@ -217,7 +266,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "strip_citations": _strip_citations,
         "html_tables": _html_tables,
         "reference_list": _reference_list,
+        "reference_list_saved": _reference_list_saved,
+        "ingest_xlsx": _ingest_xlsx,
         "table_copy_counts": _table_copy_counts,
+        "table_copy_other_store": _table_copy_other_store,
     }
     if _LLM:
         from tierwell.llm.queries import queries as llm_queries

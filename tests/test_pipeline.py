@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tierwell import specs
@@ -23,9 +24,11 @@ def _batch(spark, n):
 
 def test_pipeline_two_runs_keep_ids_and_versions(spark):
     store = SnapshotStore(spark, scratch_dir(spark, "pipeline"))
-    first = run_batch(spark, store, _batch(spark, 1), fx.BATCH_TS[1])
+    first = run_batch(spark, store, _batch(spark, 1), fx.BATCH_TS[1],
+                      stg_currency=fx.listed_currencies(spark))
     agents1 = rows(first["spr_agent"], "id", "username")
     enums1 = rows(store.read("spr_enums"))
+    store.write("stg_currency", fx.listed_currencies(spark))     # read from the store from now on
     second = run_batch(spark, store, _batch(spark, 2), fx.BATCH_TS[2])
     assert store.version("ods_request") == 2
     # ids of existing members never change
@@ -42,7 +45,70 @@ def test_pipeline_two_runs_keep_ids_and_versions(spark):
                              fx.WINDOW)
     assert rep["daily_stats"].count() > 0
     rejects = spark.read.parquet(f"{store.base}/rejected_stg_case")
-    assert rejects.count() > 0
+    assert rejects.select("batch").distinct().count() == 2
+
+
+def test_pipeline_needs_a_currency_list(spark):
+    store = SnapshotStore(spark, scratch_dir(spark, "pipeline"))
+    with pytest.raises(ValueError, match="currency"):
+        run_batch(spark, store, {}, fx.BATCH_TS[1])
+
+
+def test_store_never_loses_a_version(spark):
+    store = SnapshotStore(spark, scratch_dir(spark, "store"))
+    assert store.version("t") is None and store.read("t") is None
+    store.write("t", spark.range(5))
+    store.write("t", spark.range(200))
+    # a run that died before its commit: a folder without the marker
+    spark.range(7).write.parquet(f"{store.base}/t/v=3")
+    assert store.version("t") == 2 and store.read("t").count() == 200
+    store.write("t", store.read("t").limit(3))             # rebuilt from itself
+    assert store.version("t") == 4 and store.read("t").count() == 3
+    assert spark.read.parquet(f"{store.base}/t/v=2").count() == 200
+    # a commit that cannot happen twice, and a listing that fails, raise
+    with pytest.raises(Exception, match="exist"):
+        store.commit("t", 4)
+    with pytest.raises(Exception):
+        SnapshotStore(spark, "nosuchstore://x").version("t")
+
+
+def test_replayed_epoch_changes_nothing(spark):
+    from tierwell.streaming.batches import load_epoch
+    store = SnapshotStore(spark, scratch_dir(spark, "epoch"))
+    stg = fx.stg_case(spark, SF_TINY)
+    clock = lambda epoch: fx.BATCH_TS[epoch + 1]
+    load_epoch(stg, 0, specs.CASE, store, clock)
+    once = rows(store.read("ods_case"), "global_case_number", "effective_from", "is_active")
+    rejects = spark.read.parquet(f"{store.base}/rejected_stg_case").count()
+    load_epoch(stg, 0, specs.CASE, store, clock)
+    assert rows(store.read("ods_case"), "global_case_number", "effective_from", "is_active") == once
+    assert spark.read.parquet(f"{store.base}/rejected_stg_case").count() == rejects > 0
+
+
+def test_usecols(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Nation Key,Nation/Name,Region Key\n1,A,9\n")
+    (tmp_path / "b.csv").write_text("Nation Key,Nation/Name,nation/name\n2,B,b\n")
+    path = os.path.join(str(tmp_path), "*.csv")
+    assert read_files(spark, path, "csv", usecols="A:B").columns == ["nation_key", "nation_name"]
+    assert read_files(spark, path, "csv", usecols=[0]).columns == ["nation_key"]
+    both = read_files(spark, path, "csv", usecols=["Nation Key", "Region Key"])
+    assert rows(both, "nation_key", "region_key") == [("1", "9"), ("2", None)]
+    assert "nation_name_2" in read_files(spark, path, "csv").columns
+    for bad in (["Nation Key", "Missing"], "Z:ZZ", "1-2"):
+        with pytest.raises(ValueError, match="usecols"):
+            read_files(spark, path, "csv", usecols=bad)
+
+
+def test_html_tables_as_written_in_the_wild():
+    from tierwell.sources.html_tables import parse_tables
+    assert parse_tables("<table><tr><td>A<td>b<tr><td>c</table>") == [[(False, ["A", "b"]), (False, ["c"])]]
+    assert parse_tables("<table><tr><td>A<table><tr><td>in</table>more<td>b</table>") == [
+        [(False, ["A more", "b"])], [(False, ["in"])]]
+    assert parse_tables("<table><tr><th>x<th>y<tr><th scope=row>USD<td>dollar<script>no</script></table>") == [
+        [(True, ["x", "y"]), (False, ["USD", "dollar"])]]
+    assert parse_tables("<table><tr><td rowspan=2>a<td colspan=2>b<tr><td>c<td>d<tr><td>e") == [
+        [(False, ["a", "b", "b"]), (False, ["a", "c", "d"]), (False, ["e"])]]
+    assert parse_tables("") == [] and parse_tables("<td>stray</td>") == []
 
 
 def test_layer_overwrite_reconciles_counts(spark):

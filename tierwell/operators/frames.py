@@ -14,19 +14,24 @@ def previous_group_first(df: DataFrame, partition, order: str, cols,
                          suffix: str = "_prev") -> DataFrame:
     """Add ``<col><suffix>``: value of the first row of the previous peer group.
 
-    Peer groups are numbered with ``dense_rank``, then a RANGE frame of one
-    rank back spans the previous group and the current one; its first row is
-    the answer. Rows inside one peer group have no order, so the result is
-    deterministic when ``cols`` are constant within a group (as in the
-    reports, where they are group totals).
+    Peer groups are first reduced to one row (with map-side combining), the
+    previous group's value is taken on that table, and the result joins back
+    to the rows; a partition with very many rows is never one task. Rows
+    inside one peer group have no order, so ``cols`` should be constant within
+    a group (as in the reports, where they are group totals); otherwise the
+    least value stands for the group. NULL partitions and orders form groups
+    like any value.
     """
     partition = [partition] if isinstance(partition, str) else list(partition)
-    rank = F.dense_rank().over(Window.partitionBy(*partition).orderBy(order))
-    ranked = df.withColumn("_grp", rank)
-    frame = Window.partitionBy(*partition).orderBy("_grp").rangeBetween(-1, 0)
-    for c in cols:
-        ranked = ranked.withColumn(f"{c}{suffix}", F.first(c).over(frame))
-    return ranked.drop("_grp")
+    keys = [*partition, order]
+    groups = df.groupBy(*keys).agg(*[F.min(c).alias(c) for c in cols])
+    prior = previous_value(groups, partition, order, cols, suffix).select(
+        *[F.col(k).alias(f"_g_{k}") for k in keys], *[f"{c}{suffix}" for c in cols])
+    match = None
+    for k in keys:
+        same = df[k].eqNullSafe(prior[f"_g_{k}"])
+        match = same if match is None else match & same
+    return df.join(prior, match, "left").drop(*[f"_g_{k}" for k in keys])
 
 
 def previous_value(per_group: DataFrame, partition, order: str, cols, suffix: str = "_prev"):

@@ -14,6 +14,16 @@ def date_spine(spark: SparkSession, start, as_of) -> DataFrame:
     return days.select("date", month_label(F.col("date")).alias("month"))
 
 
+def spine_of(df: DataFrame, date_col: str) -> DataFrame:
+    """The spine that covers a table's dates: first day to the end of the last month.
+
+    The bounds are one aggregated row; a table without dates gives no days.
+    """
+    ends = df.agg(F.min(date_col).cast("date").alias("lo"), F.last_day(F.max(date_col)).alias("hi"))
+    days = ends.filter(F.col("lo").isNotNull()).select(F.explode(F.sequence("lo", "hi")).alias("date"))
+    return days.select("date", month_label(F.col("date")).alias("month"))
+
+
 def plan_by_day(plan: DataFrame, start, as_of) -> DataFrame:
     """(date, month, client, target_monthly) for each spine day inside a plan interval.
 

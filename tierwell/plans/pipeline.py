@@ -3,11 +3,12 @@
 ``run_batch`` performs one load in the order the data dependencies impose
 and writes every table as a new snapshot of a :class:`SnapshotStore`:
 
-1. ODS per entity: gate, rejects appended, touched-keys-only history load;
+1. ODS per entity: gate, rejects kept per batch, touched-keys-only history load;
 2. dimensions: all enumerations in one plan, then client, agent, customer,
    phone, e-mail, currency, country, city (upserts keep existing ids);
 3. facts: request fact upsert, RSO blanking over the whole fact, case fact.
 
+The currency list is passed, or read from the stored ``stg_currency``.
 Reports are read from the stored facts with :func:`reports_from_store`.
 Each stored table is read back from its snapshot, which cuts the lineage
 between steps (a lost executor recomputes from the last written table).
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import specs
 from ..operators import gate, history
 from ..session import materialize
-from ..sources.store import SnapshotStore, append
+from ..sources.store import SnapshotStore, write_batch
 from . import dims as D
 from . import facts, reports
 
@@ -40,7 +41,9 @@ def run_batch(spark: SparkSession, store: SnapshotStore, batch: dict[str, DataFr
             tables[f"ods_{entity}"] = current if current is not None else history.empty_ods(spark, spec)
             continue
         stg = stg.select(*spec.columns)
-        append(gate.rejected_rows(stg, spec.required), store.base, f"rejected_stg_{entity}")
+        # under the batch's own name: a batch that is run again replaces its rejects
+        write_batch(gate.rejected_rows(stg, spec.required), store.base, f"rejected_stg_{entity}",
+                    str(as_of))
         base = current if current is not None else history.empty_ods(spark, spec)
         new = history.load_history(base, stg, spec, as_of,
                                    touched_only=touched_only and current is not None)
@@ -52,8 +55,9 @@ def run_batch(spark: SparkSession, store: SnapshotStore, batch: dict[str, DataFr
     enums = store.write("spr_enums", D.enum_dims(values, store.read("spr_enums")))
     dims = {n: D.split_enum(enums, n) for n in D.ENUMS}
     if stg_currency is None:
-        from ..sources.fixtures import stg_currency as default_currency
-        stg_currency = default_currency(spark)
+        stg_currency = store.read("stg_currency")
+        if stg_currency is None:
+            raise ValueError("no currency list: pass stg_currency, or store one as 'stg_currency'")
     build = {
         "spr_client": lambda cur: D.client_dim(ods["case"], cur),
         "spr_agent": lambda cur: D.agent_dim(values, cur),
@@ -84,8 +88,8 @@ def reports_from_store(store: SnapshotStore, plan: DataFrame, start, as_of, wind
     """R1-R4 over the stored request fact and dimensions."""
     enums = store.read("spr_enums")
     client = store.read("spr_client")
-    metrics = reports.daily_metrics(store.read("fct_request"), client,
-                                    D.split_enum(enums, "spr_act"), start, as_of)
+    metrics = materialize(reports.daily_metrics(store.read("fct_request"), client,
+                                                D.split_enum(enums, "spr_act"), start, as_of))
     pivot = reports.daily_pivot(metrics, plan)
     return {
         "daily_pivot": pivot,

@@ -123,24 +123,24 @@ def client_summary(pivot: DataFrame, window, as_of) -> DataFrame:
                     _forecast_without_dp(as_of).alias("forecast_without_dp"), "target_monthly")
 
 
-def ordered_sum(value, order):
-    """Sum of doubles in a fixed order (NULLs skipped, NULL when none).
+#: Shares are summed in units of this many parts of one.
+SHARE_UNITS = 1e12
 
-    Floating-point addition depends on order; a plain ``sum`` follows the
-    partitioning, so its last bits can change between runs. The group here is
-    one report day (one row per client), small by construction, so its values
-    are folded in client order.
+
+def exact_sum(value):
+    """Sum of doubles that does not depend on their order (NULL when none).
+
+    Floating-point addition follows the partitioning in its last bits; here
+    each value is rounded to ``1 / SHARE_UNITS`` and the whole units are added,
+    which is exact and combines map-side.
     """
-    arr = F.array_sort(F.collect_list(F.struct(order.alias("o"), value.alias("v"))))
-    vals = F.filter(F.transform(arr, lambda x: x["v"]), lambda v: v.isNotNull())
-    return F.when(F.size(vals) > 0, F.aggregate(vals, F.lit(0.0), lambda acc, v: acc + v))
+    return F.sum(F.round(value * F.lit(SHARE_UNITS), 0).cast("long")) / F.lit(SHARE_UNITS)
 
 
 def daily_stats(pivot: DataFrame, window) -> DataFrame:
     """Per day, sums and the sum of per-client shares of the monthly total."""
     def share(c):
-        return ordered_sum(F.try_divide(F.col(c).cast("double"), F.col("total_with_dp")),
-                           F.col("client"))
+        return exact_sum(F.try_divide(F.col(c).cast("double"), F.col("total_with_dp")))
     g = _window(pivot, window).groupBy("date").agg(
         F.sum("cm").alias("cm"), F.sum("rso").alias("rso"), F.sum("act").alias("act"),
         F.sum("dp").alias("dp"),

@@ -1,9 +1,10 @@
 """Batch table copy (S6) with a post-copy row count check.
 
-Each listed table is read from the source location and overwrites the
-target; the result is one reconciliation row per table. Any Spark source
-works through ``fmt``/``options`` (parquet folders here; a JDBC target is the
-same call with ``fmt="jdbc"`` and connection options, not exercised in tests).
+Each listed table is read from the source and overwrites the target; the
+result is one reconciliation row per table. Source and target each have a
+format and options of their own, used for the read, the write and the read
+back, so a copy may change the kind of store. ``{table}`` in an option stands
+for the table's name (for sources that name the table in an option).
 """
 
 from __future__ import annotations
@@ -13,13 +14,19 @@ from pyspark.sql import DataFrame, SparkSession
 from .store import write_counted
 
 
+def _options(options: dict | None, table: str) -> dict:
+    return {k: v.replace("{table}", table) if isinstance(v, str) else v
+            for k, v in (options or {}).items()}
+
+
 def copy_tables(spark: SparkSession, tables, src_base: str, dst_base: str,
                 src_fmt: str = "parquet", dst_fmt: str = "parquet", src_suffix: str = ".parquet",
-                **options) -> DataFrame:
+                src_options: dict | None = None, dst_options: dict | None = None) -> DataFrame:
     out = []
     for t in tables:                         # the list of table names, not data
-        df = spark.read.format(src_fmt).options(**options).load(f"{src_base}/{t}{src_suffix}")
-        written = write_counted(df, f"{dst_base}/{t}", fmt=dst_fmt)
-        read = spark.read.format(dst_fmt).load(f"{dst_base}/{t}").count()
-        out.append((t, written, read))
+        read, write = _options(src_options, t), _options(dst_options, t)
+        df = spark.read.format(src_fmt).options(**read).load(f"{src_base}/{t}{src_suffix}")
+        written = write_counted(df, f"{dst_base}/{t}", fmt=dst_fmt, options=write)
+        back = spark.read.format(dst_fmt).options(**write).load(f"{dst_base}/{t}").count()
+        out.append((t, written, back))
     return spark.createDataFrame(out, "table_name string, rows_written long, rows_read long")

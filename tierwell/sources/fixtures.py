@@ -20,8 +20,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import specs
 
-# fixed values: 18 three-letter client codes, packed, indexed by key % 18
-CODES = "BLBCIPHBCHPBKKBPSPRBARPBSBNSBPSDBSGSUBKVSMYPOICCCBMZZZ"
+# the client codes that rows are spread over, by key: the utilisation clients,
+# two inactive ones, and one that has no plan
+CODES = [*specs.UTIL_CLIENTS, "ICC", "CBM", "ZZZ"]
 
 # batch stamps (effective_from of batch n)
 BATCH_TS = {1: "2002-01-01 00:00:00", 2: "2002-01-02 00:00:00", 3: "2002-01-03 00:00:00"}
@@ -33,7 +34,7 @@ WINDOW = ("2001-07-01", "2001-08-01")
 
 
 def code(k: str) -> str:
-    return f"substr('{CODES}', cast(1+3*(({k})%18) as int), 3)"
+    return f"substr('{''.join(CODES)}', cast(1+3*(({k})%{len(CODES)}) as int), 3)"
 
 
 def _s(x: str) -> str:
@@ -239,28 +240,30 @@ def stg_rso_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _spark(spark, sf_dir, PLAN_SQL)
 
 
-def stg_currency(spark: SparkSession) -> DataFrame:
+def listed_currencies(spark: SparkSession) -> DataFrame:
+    """A small list with a repeated code, for tests."""
     return spark.createDataFrame(CURRENCY_ROWS, specs.CURRENCY_SCHEMA)
 
 
-def currency_values_sql() -> str:
-    rows = ", ".join("('%s', '%s', '%s')" % r for r in CURRENCY_ROWS)
-    return f"select * from (values {rows}) t(code, name_ru, name_en)"
-
-
 def nation_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One HTML page per region built from ``nation`` (the driver pages have no tables).
 
-    Table 1: code and English name with a citation marker; table 2: code and
-    local name, plus one row without information. Rows follow the nation key.
+    Table 1: code, number and English name with a citation marker, without any
+    end tags of cells and rows, the code as a row header. Table 2: a two-level
+    header over code, local and short name and a note, with spans; every fifth
+    nation has a nested table in its note; last a row without information.
     """
     from pyspark.sql import functions as F
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
-    code = F.concat(F.lit("N"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0"))
-    row1 = F.concat(F.lit("<tr><td>"), code, F.lit("</td><td>"), F.col("n_name"), F.lit(" ["),
-                    F.col("n_nationkey").cast("string"), F.lit("]</td></tr>"))
-    row2 = F.concat(F.lit("<tr><td>"), code, F.lit("</td><td>"), F.lower("n_name"),
-                    F.lit("</td></tr>"))
+    key = F.col("n_nationkey").cast("string")
+    code = F.concat(F.lit("N"), F.lpad(key, 2, "0"))
+    row1 = F.concat(F.lit("<tr><th scope=row>"), code, F.lit("<td>"), key, F.lit("<td>"), F.col("n_name"),
+                    F.lit(" ["), key, F.lit("]\n"))
+    note = F.when(F.col("n_nationkey") % 5 == 0,
+                  F.concat(F.lit("see <table><tr><td>inner "), code, F.lit("</td></tr></table>below"))) \
+        .otherwise(F.lit("-"))
+    row2 = F.concat(F.lit("<tr><td>"), code, F.lit("</td><td>"), F.lower("n_name"), F.lit("</td><td>"),
+                    F.lower("n_name").substr(1, 3), F.lit("</td><td>"), note, F.lit("</td></tr>"))
     rows = nation.select(F.col("n_regionkey").alias("page_id"), "n_nationkey",
                          row1.alias("r1"), row2.alias("r2"))
     # one page is one document: its rows (nations of a region) are gathered by key order
@@ -268,9 +271,87 @@ def nation_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct("n_nationkey", "r1", "r2"))).alias("rs"))
     html = F.concat(
         F.lit("<html><body><h1>Region "), F.col("page_id").cast("string"), F.lit("</h1>"),
-        F.lit("<table><tr><th>Code</th><th>Name</th></tr>"),
+        F.lit("<table><tr><th>Code<th>Num<th>Name"),
         F.array_join(F.col("rs.r1"), ""), F.lit("</table><p>Notes &amp; more</p>"),
-        F.lit("<table><tr><th>Code</th><th>Local name</th></tr>"),
-        F.array_join(F.col("rs.r2"), ""), F.lit("<tr><td></td><td></td></tr></table>"),
+        F.lit("<table><thead><tr><th rowspan=2>Code</th><th colspan=2>Names</th><th rowspan=2>Note</th></tr>"
+              "<tr><th>Local</th><th>Short</th></tr></thead><tbody>"),
+        F.array_join(F.col("rs.r2"), ""), F.lit("<tr><td colspan=4></td></tr></table>"),
         F.lit("</body></html>"))
     return pages.select(F.col("page_id").cast("long").alias("page_id"), html.alias("html"))
+
+
+# Batch 4 of the requests re-delivers them with edits: every tenth became of an
+# excluded type (its fact row must stay as it was), every tenth has another
+# type and more nights, and every tenth comes under a second prefix that shares
+# the fact key of the old one and changed later.
+REQUEST_BATCH4_SQL = f"""
+select act, actual_response_date, assigned_to_agent, booking_channel, closed_issue_date,
+  commission_charged, commission_currency, confirmation_num, credit_card_brand,
+  customer_promise_date, event_city, event_city_other, event_country, event_end_date_time,
+  event_start_date_time, follow_up_method, fulfillment_method, fulfillment_outcome,
+  case when k%10=2 then 'GLC' || substr(global_request_number,4) else global_request_number end
+       as global_request_number,
+  hotel_chain, iata_provided, issue_added_by_user_code, issue_date_added,
+  issue_date_changed + interval '1' day as issue_date_changed,
+  issue_status, case when k%10=1 then nights+10 else nights end as nights,
+  number_of_adults, number_of_children, popular_booking_channel, popular_service_provider,
+  reporting_amount, reporting_currency, request_active_or_not_active,
+  case when k%10=2 then 'later prefix' else request_details end as request_details,
+  request_subtype,
+  case when k%10=0 then 'O OTHER' when k%10=1 then 'I EVENT' else request_type end as request_type,
+  case when k%10=1 then 'O OTHER' else rso_uptake end as rso_uptake,
+  service_provider, service_type, situation, stars, vendor_contact
+from (select r.*, cast(substr(global_request_number,7,7) as bigint) as k from ({REQUEST_SQL}) r) x
+where batch = 1 and k%10 < 4
+"""
+
+# Batch 4 of the cases: every tenth gets another status and agent, and every
+# tenth comes under a second prefix that shares its fact key.
+CASE_BATCH4_SQL = f"""
+select case_date_added, case_address_id,
+  case_date_changed + interval '2' day as case_date_changed,
+  case when k%10=1 then 'Closed' else case_status end as case_status,
+  client, closed_case_date, contact_method, contact_source, current_location,
+  case when k%10=2 then 'later prefix' else current_phone end as current_phone,
+  department,
+  case when k%10=2 then 'GLC' || substr(global_case_number,4) else global_case_number end
+       as global_case_number,
+  initial_agent, received_date,
+  case when k%10=1 then 'zoe.king' else responsible_agent end as responsible_agent
+from (select c.*, cast(substr(global_case_number,7) as bigint) as k from ({CASE_SQL}) c) x
+where k%10 < 4
+"""
+
+BATCH_TS[4] = "2002-01-04 00:00:00"
+
+
+def stg_request_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _spark(spark, sf_dir, REQUEST_BATCH4_SQL)
+
+
+def stg_case_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _spark(spark, sf_dir, CASE_BATCH4_SQL)
+
+
+def nation_workbooks(spark: SparkSession, sf_dir: str, folder: str) -> str:
+    """Write one workbook per region from ``nation`` (a table of fixed size); returns their glob.
+
+    Sheet 'Notes' comes first in every workbook, 'Nations' second. The first
+    two regions' sheets have no region column.
+    """
+    from .ingest import write_xlsx_bytes
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    by_region: dict[int, list] = {}
+    for r in spark.read.parquet(f"{sf_dir}/nation.parquet").collect():
+        by_region.setdefault(r["n_regionkey"], []).append(r)
+    for region, nations in by_region.items():
+        head = ["Nation Key", "Nation/Name", "Is Even"] + (["Region Key"] if region > 1 else [])
+        body = [[r["n_nationkey"], r["n_name"], r["n_nationkey"] % 2 == 0]
+                + ([region] if region > 1 else []) for r in nations]
+        data = write_xlsx_bytes(None, None, sheets={"Notes": [["Note"], ["none"]], "Nations": [head, *body]})
+        path = hadoop.Path(f"{folder}/region{region}.xlsx")
+        out = path.getFileSystem(conf).create(path, True)
+        out.write(bytearray(data))
+        out.close()
+    return f"{folder}/*.xlsx"

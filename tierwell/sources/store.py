@@ -1,20 +1,26 @@
 """Layered table store on plain files: snapshot versions, layer overwrite, counts.
 
 * ``SnapshotStore`` (M5, Q14): a table is a sequence of immutable snapshots
-  ``<base>/<table>/v=<n>``; a write puts the whole new version next to the
-  old one and then moves a one-row pointer. A failed run leaves the previous
-  version current, and a table can be rebuilt from itself (the version being
-  read is never the one being written).
+  ``<base>/<table>/v=<n>``. A version is written beside the others and counts
+  only once its commit marker is there; the current version is the highest
+  committed one. No version is ever overwritten, a failed run leaves the
+  previous version current, and a table can be rebuilt from itself (the
+  version being read is never the one being written).
 * ``load_layer`` (S4, S5, S9): overwrite ``<base>/<layer>_<table>`` and return
   the reconciliation of rows written (observed during the write) against
   rows read back.
-* ``append`` (M8): add rows to a table (rejects).
+* ``write_batch`` (M8): the rows of one batch of a table (rejects), kept under
+  the batch's name, so a batch that is run again replaces its own rows.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+COMMITTED = "_COMMITTED"
+
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A folder under the session's shared checkpoint directory."""
@@ -24,10 +30,11 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
 
 def write_counted(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet",
-                  partition_by=None) -> int:
+                  partition_by=None, options: dict | None = None) -> int:
     """Write ``df`` and return the number of rows written (one pass, observed)."""
     obs = Observation("rows_written")
     w = df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode(mode).format(fmt)
+    w = w.options(**(options or {}))
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
@@ -45,33 +52,59 @@ def load_layer(df: DataFrame, table: str, base: str, layer: str = "stg") -> Data
                                  "table_name string, rows_written long, rows_read long")
 
 
-def append(df: DataFrame, base: str, table: str) -> int:
-    return write_counted(df, f"{base.rstrip('/')}/{table}", mode="append")
+def write_batch(df: DataFrame, base: str, table: str, batch: str) -> int:
+    """Store one batch's rows of a table; running the batch again replaces them.
+
+    The table is read as ``<base>/<table>`` and has the batch as column ``batch``.
+    """
+    name = re.sub(r"[^0-9A-Za-z_.-]+", "_", str(batch))
+    return write_counted(df, f"{base.rstrip('/')}/{table}/batch={name}")
 
 
 class SnapshotStore:
     def __init__(self, spark: SparkSession, base: str):
         self.spark, self.base = spark, base.rstrip("/")
 
-    def _pointer(self, table: str) -> str:
-        return f"{self.base}/{table}/_current"
+    def _path(self, path: str):
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return hadoop, hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def versions(self, table: str) -> dict[int, bool]:
+        """Versions that have a folder, and whether each is committed.
+
+        Only a folder that is absent means no versions; any other failure to
+        list it raises.
+        """
+        folder, fs = self._path(f"{self.base}/{table}")
+        if not fs.exists(folder):
+            return {}
+        out = {}
+        for status in fs.listStatus(folder):
+            m = re.fullmatch(r"v=(\d+)", status.getPath().getName())
+            if m and status.isDirectory():
+                out[int(m[1])] = fs.exists(self._path(f"{self.base}/{table}/v={m[1]}/{COMMITTED}")[0])
+        return out
 
     def version(self, table: str) -> int | None:
-        try:
-            row = self.spark.read.json(self._pointer(table)).first()
-        except Exception:  # noqa: BLE001 - no pointer yet: table does not exist
-            return None
-        return None if row is None else int(row["v"])
+        """The highest committed version, or None if the table has none."""
+        return max((v for v, done in self.versions(table).items() if done), default=None)
 
     def read(self, table: str) -> DataFrame | None:
         v = self.version(table)
         return None if v is None else self.spark.read.parquet(f"{self.base}/{table}/v={v}")
 
     def write(self, table: str, df: DataFrame) -> DataFrame:
-        """Write the next version, then move the pointer; returns the stored table."""
-        v = (self.version(table) or 0) + 1
+        """Write the next version and commit it; returns the stored table.
+
+        A version number that has a folder, committed or left behind by a
+        failed run, is never used again.
+        """
+        v = max(self.versions(table), default=0) + 1
         path = f"{self.base}/{table}/v={v}"
-        df.write.mode("overwrite").parquet(path)
-        (self.spark.createDataFrame([(v,)], "v long").coalesce(1)
-         .write.mode("overwrite").json(self._pointer(table)))
+        df.write.mode("errorifexists").parquet(path)
+        self.commit(table, v)
         return self.spark.read.parquet(path)
+
+    def commit(self, table: str, v: int) -> None:
+        marker, fs = self._path(f"{self.base}/{table}/v={v}/{COMMITTED}")
+        fs.create(marker, False).close()
