@@ -22,9 +22,12 @@ QUERIES = own_queries()
 
 
 @pytest.fixture(scope="module")
-def results(spark):
+def results(spark, wh):
     from compare import compare
-    return compare(spark, SF_TINY, QUERIES, verbose=True)
+    with pytest.MonkeyPatch.context() as patch:
+        # every query reads one build of the warehouse instead of making its own
+        patch.setattr(E, "Warehouse", lambda s, d: wh)
+        yield compare(spark, SF_TINY, QUERIES, verbose=True)
 
 
 @pytest.mark.parametrize("name", QUERIES)

@@ -47,6 +47,26 @@ def test_daily_metrics_scan_fact_once_with_pushed_range(spark, wh):
     assert "reporting_amount" not in read_schema      # column pruning
 
 
+def test_pivot_does_not_scan_the_fact_again(spark, wh):
+    # the executed plan: metrics are stored, both sides of the totals join read them
+    pivot = wh.pivot
+    pivot.collect()
+    executed = pivot._jdf.queryExecution().executedPlan().toString()
+    assert "request_number" not in executed and "added_dt" not in executed
+
+
+def test_history_moves_wide_rows_once(wh):
+    stamped = history.stamp(gate.valid_rows(wh.stg_case, specs.CASE.required), specs.CASE,
+                            "2002-01-01 00:00:00")
+    df = history.merge_history(history.empty_ods(wh.spark, specs.CASE), stamped, specs.CASE)
+    df.collect()
+    executed = df._jdf.queryExecution().executedPlan().toString()
+    final = executed.split("== Initial Plan ==")[0]
+    # an exchange that carries the versions is the one over the version hashes, reused by the others
+    wide = [x for x in final.split("\n") if "Exchange hashpartitioning(_h1" in x and "Reused" not in x]
+    assert "ReusedExchange" in final and wide
+
+
 def test_gate_pushes_not_null_filters_to_scan(spark, wh):
     stg, _ = _stored(spark, wh.stg_case, "stg")
     valid = gate.valid_rows(stg, specs.CASE.required).select("global_case_number")

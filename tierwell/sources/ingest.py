@@ -19,6 +19,7 @@ file has is an error.
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
 import io
 import re
@@ -135,8 +136,12 @@ def read_files(spark: SparkSession, path: str, fmt: str = "csv", usecols=None, s
         return _select(normalize_columns(spark.read.options(**options).json(path)), usecols)
     if fmt == "csv":
         frames = []
-        for paths in _csv_headers(spark, path).values():
-            df = normalize_columns(spark.read.options(header="true", **options).csv(paths))
+        sep = options.get("sep", options.get("delimiter", ","))
+        for head, paths in _csv_headers(spark, path).items():
+            df = spark.read.options(header="true", **options).csv(paths)
+            # the header as written: Spark renames names that differ in case only
+            names = next(csv.reader([head], delimiter=sep))
+            df = df.toDF(*unique_names(names if len(names) == len(df.columns) else df.columns))
             frames.append(df.select(*chosen(df.columns, usecols)))
         out = stack(frames)
         _check(out.columns, usecols)
