@@ -78,7 +78,8 @@ class Warehouse:
         ods = history.empty_ods(self.spark, specs.CASE)
         batches = [self.stg_case, self.stg_case_edited, self.stg_case][:n]
         for i, stg in enumerate(batches, start=1):
-            ods = history.load_history(ods, stg, specs.CASE, fx.BATCH_TS[i])
+            # each load leaves a stored snapshot, from which the next one starts
+            ods = self._keep(history.load_history(ods, stg, specs.CASE, fx.BATCH_TS[i]))
         return ods
 
     @cached_property
