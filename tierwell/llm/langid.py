@@ -168,10 +168,10 @@ def train(examples, dim: int = 16, epochs: int = 6, rate: float = 0.6, seed: int
         return None
     langs = sorted({r["lang"] for r in examples})
     number = {x: k for k, x in enumerate(langs)}
-    data = [(np.frombuffer(r["bucket"], np.uint16).astype(np.int64),
-             np.frombuffer(r["n"], np.uint16).astype(np.float64), number[r["lang"]], r["calibrate"])
-            for r in examples]
-    data = [(b, n / n.sum(), y, c) for b, n, y, c in data if len(b)]
+    # views of the packed features; a document's are widened only while it is used
+    data = [(np.frombuffer(r["bucket"], np.uint16), np.frombuffer(r["n"], np.uint16),
+             number[r["lang"]], r["calibrate"]) for r in examples if len(r["bucket"])]
+    wide = lambda d: (d[0].astype(np.int64), d[1] / d[1].sum(dtype=np.float64))
     fit = [d for d in data if not d[3]] or data
     hold = [d for d in data if d[3]] or data
     rnd = np.random.default_rng(seed)
@@ -181,7 +181,7 @@ def train(examples, dim: int = 16, epochs: int = 6, rate: float = 0.6, seed: int
     steps, done = epochs * max(1, len(fit)), 0
     for _ in range(epochs):
         for k in rnd.permutation(len(fit)).tolist():
-            bucket, share, y, _ = fit[k]
+            (bucket, share), y = wide(fit[k]), fit[k][2]
             step = rate * (1 - done / steps)
             done += 1
             x = share @ emb[bucket]
@@ -196,7 +196,7 @@ def train(examples, dim: int = 16, epochs: int = 6, rate: float = 0.6, seed: int
             emb[bucket] -= step * np.outer(share * min(len(bucket), 400), back)
     model = Model(langs, (emb @ out).astype(np.float32), bias)
     if hold:
-        z = np.stack([share @ model.table[bucket] + bias for bucket, share, _, _ in hold])
+        z = np.stack([share @ model.table[bucket] + bias for bucket, share in map(wide, hold)])
         y = np.array([d[2] for d in hold])
 
         def loss(t: float) -> float:
