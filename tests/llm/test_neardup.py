@@ -92,3 +92,37 @@ def test_signature_estimates_jaccard():
     b = np.concatenate((a[:800], rnd.integers(0, 2**63, 200, dtype=np.uint64)))
     same = np.mean(neardup.signature(a, 1000) == neardup.signature(b, 1000))
     assert abs(same - 800 / 1200) < 0.06
+
+
+def chain(n):
+    """Texts each like the next only: 20 words, two further every time (18 of 22; then 16 of 24)."""
+    return [" ".join(f"w{k}" for k in range(2 * i, 2 * i + 20)) for i in range(n)]
+
+
+@pytest.mark.parametrize("texts, bands", [
+    # centre 0; 2 joins by 1, so 3 (and then 4, 5) must meet what joined
+    (chain(4), [[1], [1], [1], [1]]),
+    (chain(6), [[1]] * 6),
+    # the lone centre (3) of bucket 1 joins the component of 4 by bucket 3; 5 is like 4 only
+    ([chain(9)[k] for k in (0, 8, 1, 2, 4, 5)] + [chain(9)[3]], [[9], [9], [2, 3], [1, 3], [1, 2], [1], [2, 3, 4]]),
+    # two chains under one centre that is like neither
+    (["z " * 3] + chain(3) + [t.replace("w", "v") for t in chain(3)], [[1]] * 7),
+])
+def test_every_pair_of_a_bucket_is_confirmed(spark, monkeypatch, texts, bands):
+    from pyspark.sql import functions as F
+    plain = neardup.document_sets
+    table = spark.createDataFrame([(i, b) for i, b in enumerate(bands)], "doc_id long, bands array<long>")
+    monkeypatch.setattr(neardup, "document_sets", lambda *a: plain(*a).drop("bands").join(table, "doc_id")
+                        .select("doc_id", "n", "s1", "s2", F.col("bands")))
+    docs = list(enumerate(texts))
+    sets = [frozenset(t.split()) for t in texts]
+    got = {r.doc_id: r.component_id for r in
+           neardup.find_components(spark.createDataFrame(docs, "doc_id long, text string"), 1).collect()}
+    whole = {i: v[1] for i, v in brute(docs, 1, 80).items()}
+    for a, x in docs:
+        for b, y in docs:
+            if a < b and set(bands[a]) & set(bands[b]) and \
+                    100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                assert got[a] == got[b], (a, b)
+            if got[a] == got[b]:
+                assert whole[a] == whole[b]

@@ -13,9 +13,12 @@
    component is done: no further link changes anything.
 5. A member outside the component of its bucket's centre is compared with the
    whole component, which is cut into pieces of bounded size; one link is
-   enough.
+   enough. Links let components grow, so this is repeated with what joined
+   since the last round, until no link is added.
 6. What is left of a bucket then lies outside the centre's component; those
-   members are compared with each other, again in bounded pieces.
+   members are compared with each other, again in bounded pieces. Links added
+   here need no further round: of a pair of a bucket, both were outside and are
+   compared here, or one was inside and step 5 has compared the other with it.
 
 So every candidate pair is confirmed, or its ends are already connected;
 nothing is capped. Comparisons happen inside tasks on pieces of a bucket, so
@@ -30,6 +33,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import block_words, blocks, checkpointed, id_and_text, mix64, span_hashes
+from ..session import materialize
 
 #: Rows of a band and number of bands. A pair with similarity 0.8 shares no band
 #: with probability (1 - 0.8**ROWS)**BANDS, about 3e-6.
@@ -227,13 +231,29 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def merged(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """``comps`` after further links: components of the components, a class without one being its own.
+
+    Stored as tables: a checkpoint keeps the estimated bytes of its joins, and
+    estimates that multiply round by round bring the planner to a halt.
+    """
+    ends = links.select(F.col("a").alias("cls")).union(links.select(F.col("b").alias("cls"))).distinct()
+    comps = materialize(comps.union(ends.join(comps, "cls", "left_anti").select("cls", F.col("cls").alias("comp"))))
+    a = comps.select(F.col("cls").alias("a"), F.col("comp").alias("ca"))
+    b = comps.select(F.col("cls").alias("b"), F.col("comp").alias("cb"))
+    up = components(materialize(links.join(a, "a").join(b, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))))
+    up = up.select(F.col("cls").alias("comp"), F.col("comp").alias("further"))
+    return materialize(comps.join(up, "comp", "left").select("cls", F.coalesce("further", "comp").alias("comp")))
+
+
 def _members(buckets: DataFrame, comps: DataFrame) -> DataFrame:
-    """Members of buckets with their own and their centre's component (a lone class is its own)."""
+    """Members of buckets outside their centre's component, with both (a lone class is its own)."""
     own = comps.select("cls", F.col("comp").alias("own"))
     mid = comps.select(F.col("cls").alias("centre"), F.col("comp").alias("mid"))
     return (buckets.join(own, "cls", "left").join(mid, "centre", "left")
-            .select("bucket", "cls", F.coalesce("own", "cls").alias("comp"),
-                    F.coalesce("mid", "centre").alias("mid"), F.col("mid").isNotNull().alias("grown")))
+            .select("bucket", "cls", "centre", F.coalesce("own", "cls").alias("comp"),
+                    F.coalesce("mid", "centre").alias("mid"), F.col("mid").isNotNull().alias("grown"))
+            .where("comp <> mid"))
 
 
 def _piece_of(column: str, pieces: str):
@@ -244,24 +264,36 @@ def _numbers(pieces: str):
     return F.explode(F.sequence(F.lit(0), F.col(pieces).cast("int") - 1))
 
 
-def _against_components(members: DataFrame, comps: DataFrame) -> DataFrame:
-    """Pieces ``(g1, g2, g3, cls, ask, hold)``: unsettled members beside the pieces of the centre's component."""
-    asked = members.where("comp <> mid and grown").select("mid", "cls").distinct()
-    sizes = (asked.groupBy("mid").agg(F.ceil(F.count("*") / PIECE).alias("asks"))
-             .join(comps.groupBy(F.col("comp").alias("mid"))
-                   .agg(F.ceil(F.count("*") / PIECE).alias("holds")), "mid"))
-    ask = (asked.join(sizes, "mid")
-           .select(F.col("mid").alias("g1"), _piece_of("cls", "asks").alias("g2"), _numbers("holds").alias("g3"),
+def _against_components(members: DataFrame, comps: DataFrame, before: DataFrame | None) -> DataFrame:
+    """Pieces ``(g1, fresh, g2, g3, cls, ask, hold)``: unsettled members beside pieces of the centre's component.
+
+    ``before`` has the components of the last round (None: every class was its
+    own). A member was compared with the whole component its centre had then.
+    Where that one kept its name, only classes that joined it are held
+    (``fresh``), else the whole component.
+    """
+    was = F.col("cls") if before is None else F.coalesce("was", "cls")
+    now = comps if before is None else comps.join(before.select("cls", F.col("comp").alias("was")), "cls", "left")
+    now = now.select("cls", F.col("comp").alias("mid"), (was != F.col("comp")).alias("joined"))
+    moved = now.select(F.col("cls").alias("centre"), "joined")
+    asked = (members.where("grown").join(moved, "centre")
+             .groupBy("mid", "cls").agg((~F.max("joined")).alias("fresh")))
+    held = now.withColumn("fresh", F.explode(F.when(F.col("joined"), F.array(F.lit(False), F.lit(True)))
+                                             .otherwise(F.array(F.lit(False)))))
+    sizes = (asked.groupBy("mid", "fresh").agg(F.ceil(F.count("*") / PIECE).alias("asks"))
+             .join(held.groupBy("mid", "fresh").agg(F.ceil(F.count("*") / PIECE).alias("holds")), ["mid", "fresh"]))
+    ask = (asked.join(sizes, ["mid", "fresh"])
+           .select(F.col("mid").alias("g1"), "fresh", _piece_of("cls", "asks").alias("g2"), _numbers("holds").alias("g3"),
                    "cls", F.lit(True).alias("ask"), F.lit(False).alias("hold")))
-    hold = (comps.withColumnRenamed("comp", "mid").join(sizes, "mid")
-            .select(F.col("mid").alias("g1"), _numbers("asks").alias("g2"), _piece_of("cls", "holds").alias("g3"),
+    hold = (held.join(sizes, ["mid", "fresh"])
+            .select(F.col("mid").alias("g1"), "fresh", _numbers("asks").alias("g2"), _piece_of("cls", "holds").alias("g3"),
                     "cls", F.lit(False).alias("ask"), F.lit(True).alias("hold")))
     return ask.union(hold)
 
 
 def _among_rest(members: DataFrame) -> DataFrame:
-    """Pieces of what is left of buckets: all members outside the centre's component, each with each."""
-    rest = members.where("comp <> mid").select("bucket", "cls", "comp")
+    """Pieces of what is left of buckets: the members outside the centre's component, each with each."""
+    rest = members.select("bucket", "cls", "comp")
     open_ = (rest.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
                                         F.count("*").alias("size"), F.sum(F.xxhash64("cls").cast("decimal(38,0)")).alias("same"))
              .where("lo <> hi")
@@ -270,7 +302,7 @@ def _among_rest(members: DataFrame) -> DataFrame:
              .select("bucket", F.ceil(F.col("size") / PIECE).alias("pieces")))
     return (rest.join(open_, "bucket")
             .withColumn("own", _piece_of("cls", "pieces")).withColumn("other", _numbers("pieces"))
-            .select(F.col("bucket").alias("g1"), F.least("own", "other").alias("g2"),
+            .select(F.col("bucket").alias("g1"), F.lit(False).alias("fresh"), F.least("own", "other").alias("g2"),
                     F.greatest("own", "other").alias("g3"), "cls", F.lit(True).alias("ask"), F.lit(True).alias("hold")))
 
 
@@ -306,18 +338,21 @@ def find_components(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
                          .mapInArrow(_confirm(percent), link_type))
 
     def compared(pieces: DataFrame) -> DataFrame:
-        return checkpointed(pieces.join(hashes, "cls").groupBy("g1", "g2", "g3")
-                            .applyInArrow(_links_in_piece(percent, arrow), link_type))
+        return materialize(pieces.join(hashes, "cls").groupBy("g1", "fresh", "g2", "g3")
+                           .applyInArrow(_links_in_piece(percent, arrow), link_type))
 
-    comps = components(links)
+    comps, before = materialize(components(links)), None
     buckets = buckets.select("bucket", "cls", "centre")
-    more = compared(_against_components(_members(buckets, comps), comps))
-    if not more.isEmpty():
-        links = links.union(more)
-        comps = components(links)
-    more = compared(_among_rest(_members(buckets, comps)))
+    while True:
+        members = materialize(_members(buckets, comps))
+        pieces = materialize(_against_components(members, comps, before))
+        more = None if pieces.isEmpty() else compared(pieces)
+        if more is None or more.isEmpty():
+            break
+        comps, before = merged(comps, more), comps
+    more = compared(_among_rest(members))
     if not more.isEmpty():
-        comps = components(links.union(more))
+        comps = merged(comps, more)
 
     named = classes.select("s1", "s2", "cls").join(comps, "cls", "left") \
         .select("s1", "s2", F.coalesce("comp", "cls").alias("comp"))
