@@ -126,3 +126,13 @@ def test_every_pair_of_a_bucket_is_confirmed(spark, monkeypatch, texts, bands):
                 assert got[a] == got[b], (a, b)
             if got[a] == got[b]:
                 assert whole[a] == whole[b]
+
+
+@pytest.mark.parametrize("words", [1, 2, 3, 4])
+def test_block_of_fewer_words_than_a_shingle(spark, words):
+    text = " ".join("abcd"[:words])
+    alone = neardup.shingle_sets([text], 5)
+    beside = neardup.shingle_sets(["q r s t u v w", text], 5)
+    assert len(alone[0]) == 1 and alone[0].tolist() == beside[1].tolist()
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert [tuple(r) for r in neardup.find_components(df, 5).collect()] == [(1, 1, 1, True)]

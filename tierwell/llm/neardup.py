@@ -81,7 +81,8 @@ def shingle_sets(texts: list[str], size: int) -> list[np.ndarray]:
     word = span_hashes(raw, starts, ends)
     run = word.copy()
     for k in range(1, size):
-        run[:len(run) - k] = mix64(run[:len(run) - k] * np.uint64(0x9E3779B97F4A7C15) + word[k:])
+        full = max(0, len(run) - k)          # a block may hold fewer words than a run
+        run[:full] = mix64(run[:full] * np.uint64(0x9E3779B97F4A7C15) + word[k:])
     out = []
     for a, b in zip(begin.tolist(), begin[1:].tolist()):
         if b - a >= size:
