@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, fingerprints, langid, lines, neardup, pii, secrets, sharding, substrings
+from . import bpe, decontam, divergence, fingerprints, langid, lines, neardup, pii, secrets, sharding, substrings
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,6 +64,10 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.find_components(documents(spark, sf_dir), shingle=2, percent=80)
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir))
+
+
 def queries() -> dict:
     return {
         "op1_byte_bpe": op1_byte_bpe,
@@ -76,6 +80,7 @@ def queries() -> dict:
         "op8_decontamination": op8_decontamination,
         "op9_sharding": op9_sharding,
         "op10_minhash_near_dedup": op10_minhash_near_dedup,
+        "op13_source_divergence": op13_source_divergence,
     }
 
 
@@ -148,5 +153,46 @@ from d left join kept on d.doc_id = kept.doc_id
 """
 
 
+#: Every group against every kept term, zeros written out: plain, and slow on large tables.
+_OP13 = f"""
+with d as (
+  select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+         regexp_extract_all({_LOW.format("coalesce(text, '')")}, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as ts
+  from documents),
+w as (select r, lang, source, unnest(ts) as term from d),
+kept as (select lang, term from w group by lang, term having count(distinct r) >= 3),
+v as (select lang, count(*) as n_terms from kept group by lang),
+c as (select w.lang, w.source, w.term, count(*)::hugeint as n from w join kept using (lang, term) group by all),
+g as (select distinct lang, source from d),
+size as (select lang, source, sum(n)::hugeint as size from c group by all),
+dense as (
+  select g.lang, g.source, k.term, coalesce(c.n, 0) as n,
+         1 + (1000000000::hugeint * (coalesce(c.n, 0) + 1)) // (coalesce(s.size, 0) + v.n_terms) as p
+  from g join kept k on g.lang = k.lang join v on v.lang = g.lang
+  left join c on c.lang = g.lang and c.source = g.source and c.term = k.term
+  left join size s on s.lang = g.lang and s.source = g.source),
+whole as (
+  select lang, term, 1 + (1000000000::hugeint * (sum(n) + 1)) // (any_value(total) + any_value(n_terms)) as q
+  from c join (select lang, sum(n)::hugeint as total from c group by lang) using (lang) join v using (lang)
+  group by lang, term),
+pair as (
+  select a.lang, a.source, b.source as item, coalesce(f, 0) as value
+  from g a join g b on a.lang = b.lang and a.source <> b.source
+  left join (select x.lang, x.source as s, y.source as o, sum(((x.p - y.p) * (x.p - y.p)) // y.p) as f
+             from dense x join dense y on x.lang = y.lang and x.term = y.term and x.source <> y.source
+             group by all) t on t.lang = a.lang and t.s = a.source and t.o = b.source),
+listed as (
+  select lang, source, 'pair' as part, item, value from pair
+  union all
+  select lang, source, 'term', term, ((p - q) * (p - q)) // q from dense join whole using (lang, term)
+  where n > 0 and p > q),
+ranked as (
+  select *, row_number() over (partition by lang, source, part order by value desc, item) as rank from listed)
+select lang, source, part, item, value::bigint as value, rank::int as rank
+from ranked where part = 'pair' or rank <= 200
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_substring_dedup": _OP2, "op5_line_dedup": _OP5, "op8_decontamination": _OP8}
+    return {"op2_substring_dedup": _OP2, "op5_line_dedup": _OP5, "op8_decontamination": _OP8,
+            "op13_source_divergence": _OP13}
