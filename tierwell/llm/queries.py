@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, divergence, fingerprints, langid, lines, neardup, pii, secrets, sharding, substrings
+from . import bpe, decontam, divergence, fingerprints, langid, lines, neardup, packing, pii, secrets, sharding, substrings
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,6 +64,11 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.find_components(documents(spark, sf_dir), shingle=2, percent=80)
 
 
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(documents(spark, sf_dir))
 
@@ -80,6 +85,7 @@ def queries() -> dict:
         "op8_decontamination": op8_decontamination,
         "op9_sharding": op9_sharding,
         "op10_minhash_near_dedup": op10_minhash_near_dedup,
+        "op12_packing": op12_packing,
         "op13_source_divergence": op13_source_divergence,
     }
 
