@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontam, divergence, fingerprints, langid, lines, neardup, packing, pii, secrets, sharding, substrings
+from . import (bpe, decontam, divergence, fingerprints, hardneg, langid, lines, neardup, packing, pii, secrets,
+               sharding, substrings)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,6 +65,14 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.find_components(documents(spark, sf_dir), shingle=2, percent=80)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(vectors.select(
+        F.col("vec_id").alias("id"), label.alias("label"), hardneg.whole_numbers(F.col("embedding")).alias("vector"),
+        (F.col("vec_id") % 100 == 0).alias("anchor")))
+
+
 def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
@@ -85,6 +94,7 @@ def queries() -> dict:
         "op8_decontamination": op8_decontamination,
         "op9_sharding": op9_sharding,
         "op10_minhash_near_dedup": op10_minhash_near_dedup,
+        "op11_hard_negatives": op11_hard_negatives,
         "op12_packing": op12_packing,
         "op13_source_divergence": op13_source_divergence,
     }
@@ -159,6 +169,27 @@ from d left join kept on d.doc_id = kept.doc_id
 """
 
 
+_OP11 = """
+with e as (
+  select row_number() over () as r, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         [floor(256 * x::double) for x in embedding] as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len([x for x in embedding if x is null or isnan(x) or isinf(x)]) = 0),
+s as (
+  select a.r as ar, a.vec_id as anchor_id, b.r as br, b.vec_id as id, a.label = b.label as same,
+         list_inner_product(a.v, b.v)::bigint as score
+  from e a join e b on a.vec_id % 100 = 0 and len(a.v) = len(b.v)),
+pos as (
+  select * from s where same and id <> anchor_id
+  qualify row_number() over (partition by ar order by score desc, id) <= 5)
+select p.anchor_id, p.id as positive_id,
+       (row_number() over (partition by p.ar, p.br order by n.score desc, n.id))::int as rank,
+       n.id as negative_id, p.score as positive_score, n.score as negative_score
+from pos p join s n on n.ar = p.ar and not n.same and 100 * n.score between 30 * p.score and 90 * p.score
+qualify rank <= 10
+"""
+
 #: Every group against every kept term, zeros written out: plain, and slow on large tables.
 _OP13 = f"""
 with d as (
@@ -201,4 +232,4 @@ from ranked where part = 'pair' or rank <= 200
 
 def oracle_sql() -> dict[str, str]:
     return {"op2_substring_dedup": _OP2, "op5_line_dedup": _OP5, "op8_decontamination": _OP8,
-            "op13_source_divergence": _OP13}
+            "op11_hard_negatives": _OP11, "op13_source_divergence": _OP13}
