@@ -108,10 +108,14 @@ def flag_current(versions: DataFrame, spec: EntitySpec) -> DataFrame:
 
     ``versions`` as made by the version dedupe, with the version hashes.
     """
+    return _flagged(versions, spec).select(*spec.ods_columns)
+
+
+def _flagged(versions: DataFrame, spec: EntitySpec) -> DataFrame:
     won = _winners(versions, spec).withColumn("_won", F.lit(1))
     return (versions.join(won, list(_HASH), "left")
             .withColumn(IS_ACTIVE, F.coalesce("_won", F.lit(0)).cast("int"))
-            .select(*spec.ods_columns))
+            .select(*_HASH, *spec.ods_columns))
 
 
 def merge_history(ods: DataFrame, stamped: DataFrame, spec: EntitySpec) -> DataFrame:

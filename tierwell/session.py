@@ -76,6 +76,36 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
+class WorkTables:
+    """Bucketed tables of one job in the shared checkpoint folder, removed when the job is done.
+
+    ``with WorkTables(spark) as work: work.bucketed(df, ["key"], 8)`` writes ``df``
+    by bucket and reads it back, so that joins on the key find it in place.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.made = spark, {}
+
+    def bucketed(self, df: DataFrame, cols, buckets: int) -> DataFrame:
+        import uuid
+        name = f"tierwell_job_{uuid.uuid4().hex}"
+        self.made[name] = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/tierwell-tables/{name}"
+        (df.write.format("parquet").option("path", self.made[name]).bucketBy(buckets, *cols).sortBy(*cols)
+         .saveAsTable(name))
+        return self.spark.table(name)
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *error):
+        jvm = self.spark.sparkContext._jvm
+        for name, folder in self.made.items():
+            self.spark.sql(f"drop table if exists {name}")
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        self.made = {}
+
+
 def empty_frame(spark: SparkSession, schema) -> DataFrame:
     """An empty DataFrame Catalyst knows to be empty.
 
