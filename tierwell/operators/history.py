@@ -83,23 +83,36 @@ def dedupe_versions(rows: DataFrame, spec: EntitySpec) -> DataFrame:
     return _hashed_versions(rows, spec).drop(*_HASH)
 
 
-def _winners(versions: DataFrame, spec: EntitySpec) -> DataFrame:
-    """Hash of the newest version of each entity key."""
+def _newest(versions: DataFrame, spec: EntitySpec) -> DataFrame:
+    """(_key, version hash) of the versions with the newest (effective_from, change timestamp) of their key."""
     at = F.struct(F.col(EFFECTIVE_FROM), F.col(spec.change_ts))
     newest = versions.groupBy(F.col(spec.key).alias("_k")).agg(F.max(at).alias("_at"))
     # null-safe matches: no inferred not-null filter on one branch only, so all
     # branches share the one exchange of the versions
-    first = (versions.select(F.col(spec.key).alias("_key"), at.alias("_own"), *_HASH)
-             .join(newest, F.col("_key").eqNullSafe(F.col("_k")) & F.col("_own").eqNullSafe(F.col("_at")))
-             .groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), F.min(_HASH[0]).alias(_HASH[0]),
-                                  F.min(_HASH[1]).alias(_HASH[1])))
-    # several versions with the same newest order: the other columns decide
-    tied = first.filter(F.col("_n") > 1).select(F.col("_key").alias("_tied"))
+    return (versions.select(F.col(spec.key).alias("_key"), at.alias("_own"), *_HASH)
+            .join(newest, F.col("_key").eqNullSafe(F.col("_k")) & F.col("_own").eqNullSafe(F.col("_at")))
+            .select("_key", *_HASH))
+
+
+def _counted(newest: DataFrame) -> DataFrame:
+    return newest.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), F.min(_HASH[0]).alias(_HASH[0]),
+                                      F.min(_HASH[1]).alias(_HASH[1]))
+
+
+def _decided(tied: DataFrame, spec: EntitySpec) -> DataFrame:
+    """Hash of the winner of each key among whole rows that tie on the newest order."""
     rest = [c for c in spec.columns + list(spec.derived) if c != spec.change_ts]
     full = F.struct(F.col(EFFECTIVE_FROM), F.col(spec.change_ts), *[F.col(c) for c in rest], *_HASH)
-    decided = (versions.join(tied, F.col(spec.key).eqNullSafe(F.col("_tied")), "left_semi")
-               .groupBy(spec.key).agg(F.max(full).alias("_w"))
-               .select(*[F.col(f"_w.{h}").alias(h) for h in _HASH]))
+    return (tied.groupBy(spec.key).agg(F.max(full).alias("_w"))
+            .select(*[F.col(f"_w.{h}").alias(h) for h in _HASH]))
+
+
+def _winners(versions: DataFrame, spec: EntitySpec) -> DataFrame:
+    """Hash of the newest version of each entity key."""
+    first = _counted(_newest(versions, spec))
+    # several versions with the same newest order: the other columns decide
+    tied = first.filter(F.col("_n") > 1).select(F.col("_key").alias("_tied"))
+    decided = _decided(versions.join(tied, F.col(spec.key).eqNullSafe(F.col("_tied")), "left_semi"), spec)
     return first.filter(F.col("_n") == 1).select(*_HASH).unionByName(decided)
 
 
@@ -108,14 +121,10 @@ def flag_current(versions: DataFrame, spec: EntitySpec) -> DataFrame:
 
     ``versions`` as made by the version dedupe, with the version hashes.
     """
-    return _flagged(versions, spec).select(*spec.ods_columns)
-
-
-def _flagged(versions: DataFrame, spec: EntitySpec) -> DataFrame:
     won = _winners(versions, spec).withColumn("_won", F.lit(1))
     return (versions.join(won, list(_HASH), "left")
             .withColumn(IS_ACTIVE, F.coalesce("_won", F.lit(0)).cast("int"))
-            .select(*_HASH, *spec.ods_columns))
+            .select(*spec.ods_columns))
 
 
 def merge_history(ods: DataFrame, stamped: DataFrame, spec: EntitySpec) -> DataFrame:
