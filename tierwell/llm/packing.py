@@ -38,7 +38,7 @@ from .common import blocks, colocated, id_and_text, pack as packed, unpack
 
 STEPS = 512                 # length steps that combinations are made of
 ITERATIONS = 400            # of the least-squares solver
-WORD_CACHE = 200_000        # distinct words that a task remembers
+WORD_CACHE = 500_000        # distinct words that a task remembers
 BLOCK_CHARS = 4_000_000
 
 
@@ -81,7 +81,8 @@ class WordIds:
         if ids is None:
             if len(self.parts) > WORD_CACHE:
                 self.parts.clear()
-            letters = "".join([self.letters[b] for b in part.encode()])
+            # the letters of ASCII signs are the signs themselves
+            letters = part if part.isascii() else "".join([self.letters[b] for b in part.encode()])
             ids = self.parts[part] = [t.id for t in self.model.tokenize(letters)]
         return ids
 
@@ -89,11 +90,14 @@ class WordIds:
         """Encode the words that have no code yet."""
         words = list(words)
         out: list = [None] * len(words)
-        rest = []
+        rest, known = [], self.parts.get
         for i, w in enumerate(words):
             text = w.decode()
-            if "<|" not in text and _PLAIN.fullmatch(text):
-                out[i] = [x for p in _PARTS.findall(text.lower()) for x in self._part(p)]
+            if text.isalpha() and text.isascii():        # most words: one part
+                text = text.lower()
+                out[i] = known(text) or self._part(text)
+            elif "<|" not in text and _PLAIN.fullmatch(text):
+                out[i] = [x for p in _PARTS.findall(text.lower()) for x in known(p) or self._part(p)]
             else:
                 rest.append(i)
         for lo in range(0, len(rest), 5000):
