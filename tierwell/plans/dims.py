@@ -184,11 +184,15 @@ def client_dim(ods_case: DataFrame, current: DataFrame | None = None) -> DataFra
     """One row per client code from its newest case row (any version)."""
     spark = ods_case.sparkSession
     code = K.client_of_case("global_case_number")
-    order = [EFFECTIVE_FROM, specs.CASE.change_ts] + [
-        c for c in specs.CASE.columns if c != specs.CASE.change_ts]
-    newest = (ods_case.groupBy(code.alias("client"))
+    # the two columns that nearly always decide are compared on their own, so that the
+    # whole rows are read for a client's newest ones only
+    first = F.struct(EFFECTIVE_FROM, specs.CASE.change_ts)
+    top = ods_case.groupBy(code.alias("_code")).agg(F.max(first).alias("_at"))
+    order = [c for c in specs.CASE.columns if c != specs.CASE.change_ts]
+    newest = (ods_case.join(top, code.eqNullSafe(F.col("_code")) & first.eqNullSafe(F.col("_at")))
+              .groupBy(F.col("_code").alias("_client"))
               .agg(F.max(F.struct(*order)).alias("_n"))
-              .select("client", F.col("_n.client").alias("name")))
+              .select(F.col("_client").alias("client"), F.col("_n.client").alias("name")))
     src = newest.select(
         "client",
         F.coalesce(F.col("name"), F.col("client")).alias("client_name"),

@@ -1,9 +1,9 @@
 """Fact builds D23 (request fact), D24 (RSO blanking) and D25 (case fact).
 
 The request fact is a star lookup: every dimension is reduced to a two-column
-(key, id) table that Spark broadcasts by its stored size, so the fact side is
-not shuffled for the 18 lookups and they all run inside one codegen stage. The
-upsert keys of the facts are their natural keys; facts carry no sequential
+(key, id) table. Those below Spark's broadcast threshold are looked up without
+shuffling the fact, all larger ones together in one pass over the unpivoted
+codes. The upsert keys of the facts are their natural keys; facts carry no sequential
 id (that would need one global numbering of the largest table).
 
 The fact keys drop the prefix of the business key, so two active entities can
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from .. import specs
 from ..functions import keys as K
 from ..operators import merge
-from ..operators.lookup import dim_pairs, lookup
+from ..operators.lookup import dim_pairs, lookup, star_lookup
 from ..specs import EFFECTIVE_FROM, IS_ACTIVE
 
 REQUEST_FACT_COLUMNS = [
@@ -93,16 +93,15 @@ def request_fact_source(ods_request: DataFrame, dims: dict[str, DataFrame]) -> D
     """Active requests (not of an 'O ...' type) with all 18 dimension ids."""
     base = ods_request.filter((F.col(IS_ACTIVE) == 1)
                               & ~K.ilike_prefix("request_type", specs.EXCLUDED_TYPE_LIKE))
+    # one key column for the collisions and for the lookups: both find the rows in one place
+    base = base.withColumn("request_number", K.request_number("global_request_number"))
     base = merge.newest_of_colliding(
-        base, {"request_number": K.request_number("global_request_number")},
+        base, {"request_number": F.col("request_number")},
         [EFFECTIVE_FROM, specs.REQUEST.change_ts, "global_request_number"])
-    pairs: dict[tuple[str, str], DataFrame] = {}
-    out = base
-    for fact_col, dim, key, id_col in REQUEST_LOOKUPS:
-        if (dim, key) not in pairs:
-            pairs[(dim, key)] = dim_pairs(dims[dim], key, reduce_max=(dim == "spr_city"))
-        out = lookup(out, pairs[(dim, key)], fact_col, id_col)
-    out = out.withColumn("request_number", K.request_number("global_request_number"))
+    pairs = {f"{dim}.{key}": dim_pairs(dims[dim], key, reduce_max=(dim == "spr_city"))
+             for _, dim, key, _ in REQUEST_LOOKUPS}
+    out = star_lookup(base, "request_number",
+                      [(col, f"{dim}.{key}", id_col) for col, dim, key, id_col in REQUEST_LOOKUPS], pairs)
     for src, dst in _RENAMES.items():
         out = out.withColumnRenamed(src, dst)
     return out.select(*REQUEST_FACT_COLUMNS)
@@ -126,7 +125,7 @@ def blank_rso(fct_request: DataFrame, spr_request_type: DataFrame) -> DataFrame:
     """``spr_rso_id = NULL`` where it points to a blacklisted type.
 
     Applies to every fact row (old ones too). The blacklisted ids come from
-    the request-type dimension (small, size-checked broadcast).
+    the request-type dimension; Spark picks the join from its stored bytes.
     """
     bad = spr_request_type.filter(
         F.col("type").isin(*specs.RSO_BLACKLIST)

@@ -25,7 +25,9 @@ from .. import specs
 from ..functions import keys as K
 from ..functions.dates import (as_date, days_in_month, days_in_prev_month, end_of_month,
                                month_label, yesterday_day)
+from ..operators.exact import exact_sums
 from ..operators.frames import previous_value
+from ..operators.intervals import interval_join
 
 PIVOT_COLUMNS = ["date", "month", "client", "cm", "rso", "util_rso", "act", "dp", "cm_rso_act",
                  "target_monthly", "total", "total_with_dp", "prev_month_total",
@@ -99,6 +101,17 @@ def daily_pivot(metrics: DataFrame, plan: DataFrame) -> DataFrame:
             .select(*PIVOT_COLUMNS))
 
 
+def plan_on_spine(spine: DataFrame, plan: DataFrame) -> DataFrame:
+    """J9 on dates alone: each spine day with every plan interval that holds it.
+
+    The rows of ``plan_by_day`` from any spine, also one with gaps, without
+    exploding an interval into its days.
+    """
+    named = plan.select("client", F.col("target").alias("target_monthly"), "effective_from", "effective_to")
+    pairs = interval_join(spine, F.unix_date("date"), named, F.unix_date("effective_from"), F.unix_date("effective_to"))
+    return pairs.select("date", "month", "client", "target_monthly")
+
+
 def _window(pivot: DataFrame, window) -> DataFrame:
     lo, hi = window
     return pivot.filter(F.col("date").between(as_date(lo), as_date(hi)))
@@ -123,29 +136,15 @@ def client_summary(pivot: DataFrame, window, as_of) -> DataFrame:
                     _forecast_without_dp(as_of).alias("forecast_without_dp"), "target_monthly")
 
 
-#: Shares are summed in units of this many parts of one.
-SHARE_UNITS = 1e12
-
-
-def exact_sum(value):
-    """Sum of doubles that does not depend on their order (NULL when none).
+def daily_stats(pivot: DataFrame, window) -> DataFrame:
+    """Per day, sums and the sum of per-client shares of the monthly total.
 
-    Floating-point addition follows the partitioning in its last bits; here
-    each value is rounded to ``1 / SHARE_UNITS`` and the whole units are added,
-    which is exact and combines map-side.
+    The shares are added exactly and rounded once, so the result does not follow the partitioning.
     """
-    return F.sum(F.round(value * F.lit(SHARE_UNITS), 0).cast("long")) / F.lit(SHARE_UNITS)
-
-
-def daily_stats(pivot: DataFrame, window) -> DataFrame:
-    """Per day, sums and the sum of per-client shares of the monthly total."""
     def share(c):
-        return exact_sum(F.try_divide(F.col(c).cast("double"), F.col("total_with_dp")))
-    g = _window(pivot, window).groupBy("date").agg(
-        F.sum("cm").alias("cm"), F.sum("rso").alias("rso"), F.sum("act").alias("act"),
-        F.sum("dp").alias("dp"),
-        share("rso").alias("pct_rso_from_total"), share("act").alias("pct_act_from_total"),
-        share("dp").alias("pct_dp_from_total"))
+        return F.try_divide(F.col(c).cast("double"), F.col("total_with_dp"))
+    g = exact_sums(_window(pivot, window), ["date"], {f"pct_{c}_from_total": share(c) for c in ("rso", "act", "dp")},
+                   sums=["cm", "rso", "act", "dp"])
     total = F.col("cm") + F.col("rso") + F.col("act") + F.col("dp")
     return g.select("date", total.alias("total_with_dp"), "cm", "rso", "act", "dp",
                     "pct_rso_from_total", "pct_act_from_total", "pct_dp_from_total")
