@@ -164,6 +164,58 @@ def _rejects_two_batches(spark, sf_dir):
     return spark.read.parquet(f"{base}/rejected_stg_case").select(*C.columns, "batch")
 
 
+def _bucketed(spec, batches):
+    # load after load onto the stored, bucketed history
+    def run(spark, sf_dir):
+        from tierwell.operators.bucketed_history import BucketedHistory
+        from tierwell.sources.store import scratch_dir
+        held = BucketedHistory(spark, scratch_dir(spark, "ranges"), spec, ranges=4)
+        for staging, as_of in batches(spark, sf_dir):
+            out = held.load(staging, as_of)
+        return out
+    return run
+
+
+def _request_batches(spark, sf_dir):
+    from tierwell.plans.warehouse import batch_clock
+    stg = fx.stg_request(spark, sf_dir)
+    return [(stg.filter(F.col("batch") < 3), batch_clock()),
+            (stg.filter(F.col("batch") == 3), fx.BATCH_TS[3]), (fx.stg_request_late(spark, sf_dir), fx.BATCH_TS[4])]
+
+
+def _case_batches(spark, sf_dir):
+    return [(fx.stg_case(spark, sf_dir, n), fx.BATCH_TS[n]) for n in (1, 2, 3)] + [
+        (fx.stg_case_late(spark, sf_dir), fx.BATCH_TS[4])]
+
+
+def _plan_on_spine(spark, sf_dir):
+    from tierwell.plans.reports import plan_on_spine
+    wh = Warehouse(spark, sf_dir)
+    return plan_on_spine(wh.spine, wh.stg_rso_plan)
+
+
+def _orders_in_plan_periods(spark, sf_dir):
+    from tierwell.operators.intervals import interval_join
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderdate").cast("date").alias("day"))
+    pairs = interval_join(orders, F.unix_date("day"), fx.stg_rso_plan(spark, sf_dir),
+                          F.unix_date("effective_from"), F.unix_date("effective_to"))
+    return pairs.groupBy("client", "target").agg(F.count(F.lit(1)).alias("n_orders"), F.min("day").alias("first_day"))
+
+
+def _groups_frame(preceding, following, first):
+    def run(spark, sf_dir):
+        from tierwell.operators.frames import groups_frame
+        # one partition holds a third of all rows; many orders share a day
+        part = F.when(F.col("o_orderkey") % 3 == 0, "hot").otherwise(F.col("o_orderpriority"))
+        orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+            "o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("day"), part.alias("p"))
+        outs = {"s": ("sum", "o_custkey"), "n": ("count", "o_orderkey"), "last_key": ("last", "o_orderkey", ["o_orderkey"])}
+        if first:
+            outs["first_key"] = ("first", "o_orderkey", ["o_orderkey"])
+        return groups_frame(orders, "p", "day", outs, preceding, following, block=500).drop("o_custkey")
+    return run
+
+
 def _date_spine(spark, sf_dir):
     from tierwell.operators.spine import spine_of
     return spine_of(spark.read.parquet(f"{sf_dir}/orders.parquet"), "o_orderdate")
@@ -228,6 +280,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ods_address": lambda s, d: Warehouse(s, d).ods_address.select(*A.ods_columns),
         "ods_case_sequential": _ods_case_sequential,
         "ods_request_touched_only": _ods_request_touched_only,
+        "ods_request_bucketed": _bucketed(R, _request_batches),
+        "ods_case_bucketed": _bucketed(C, _case_batches),
         "ods_address_two_batches": lambda s, d: _ods_address_2(s, d).select(*A.ods_columns),
         "upsert_update": _upsert_update,
         "upsert_insert_only_column": _upsert_insert_only,
@@ -254,9 +308,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # reports
         "date_spine": _date_spine,
         "plan_by_day": lambda s, d: Warehouse(s, d).plan_days,
+        "plan_on_spine": _plan_on_spine,
+        "orders_in_plan_periods": _orders_in_plan_periods,
+        "groups_frame": _groups_frame(2, 1, True),
+        "groups_frame_running": _groups_frame(None, 1, False),
         "daily_metrics": lambda s, d: Warehouse(s, d).metrics,
         "prev_group_first": _prev_group_first,
         "daily_pivot": lambda s, d: Warehouse(s, d).pivot,
+        "daily_pivot_after_second_load": lambda s, d: Warehouse(s, d).pivot_state_second.pivot,
         "pivot_view": _pivot_view,
         "client_summary": lambda s, d: Warehouse(s, d).client_summary(),
         "daily_stats": lambda s, d: Warehouse(s, d).daily_stats(),

@@ -35,28 +35,35 @@ PIVOT_COLUMNS = ["date", "month", "client", "cm", "rso", "util_rso", "act", "dp"
                  "forecast_30_days", "plan_rso", "percentage", "plan_rso_daily", "month_num"]
 
 
-def daily_metrics(fct_request: DataFrame, spr_client: DataFrame, spr_act: DataFrame,
-                  start, as_of) -> DataFrame:
-    """(date, client, cm, rso, util_rso, act, dp) for spine days with ``cm > 0``.
+COUNTS = ["cm", "rso", "act", "dp"]
+
+
+def day_counts(rows: DataFrame, spr_act: DataFrame, sign: str | None = None) -> DataFrame:
+    """(date, client, cm, rso, act, dp) of fact rows; with ``sign`` each row counts as that column (+1, -1).
 
     rso/act/dp overlap (each has its own predicate); cm is the remainder with
-    neither a counted act nor an RSO. A (client, day) without cm is dropped.
+    neither a counted act nor an RSO.
     """
     acts = (spr_act.filter(F.col("act_type").isin(specs.ACT_YES, specs.ACT_DRAGON_PASS))
                    .select(F.col("id").alias("_act_id"), F.col("act_type").alias("_act")))
-    lo = as_date(start).cast("timestamp_ntz")
-    hi = F.date_add(end_of_month(as_of), 1).cast("timestamp_ntz")
-    facts = (fct_request.filter((F.col("added_dt") >= lo) & (F.col("added_dt") < hi))
-             .select(K.client_of_request("request_number").alias("client"),
-                     K.day_of("added_dt").alias("date"), "spr_act_id", "spr_rso_id"))
+    facts = rows.select(K.client_of_request("request_number").alias("client"),
+                        K.day_of("added_dt").alias("date"), "spr_act_id", "spr_rso_id", *([sign] if sign else []))
     facts = facts.join(acts, facts["spr_act_id"] == acts["_act_id"], "left")
     rso = F.col("spr_rso_id").isNotNull()
-    per_day = (facts.groupBy("date", "client").agg(
-        F.count_if(F.col("_act").isNull() & ~rso).alias("cm"),
-        F.count_if(rso).alias("rso"),
-        F.count_if(F.col("_act") == specs.ACT_YES).alias("act"),
-        F.count_if(F.col("_act") == specs.ACT_DRAGON_PASS).alias("dp"),
-    ).filter(F.col("cm") > 0))
+
+    def count(predicate):
+        if sign is None:
+            return F.count_if(predicate)
+        return F.sum(F.when(F.coalesce(predicate, F.lit(False)), F.col(sign)).otherwise(0)).cast("long")
+    return facts.groupBy("date", "client").agg(
+        count(F.col("_act").isNull() & ~rso).alias("cm"), count(rso).alias("rso"),
+        count(F.col("_act") == specs.ACT_YES).alias("act"),
+        count(F.col("_act") == specs.ACT_DRAGON_PASS).alias("dp"))
+
+
+def metrics_of(counts: DataFrame, spr_client: DataFrame) -> DataFrame:
+    """Daily metrics from the counts: days with ``cm > 0``, with ``util_rso`` for utilisation clients."""
+    per_day = counts.filter(F.col("cm") > 0)
     util = spr_client.select(F.col("client").alias("_u_client"), "is_util")
     per_day = per_day.join(util, per_day["client"] == util["_u_client"], "left")
     return per_day.select(
@@ -65,28 +72,56 @@ def daily_metrics(fct_request: DataFrame, spr_client: DataFrame, spr_act: DataFr
         "act", "dp")
 
 
-def daily_pivot(metrics: DataFrame, plan: DataFrame) -> DataFrame:
-    """Metrics x plan target, monthly totals, previous month and forecast."""
+def daily_metrics(fct_request: DataFrame, spr_client: DataFrame, spr_act: DataFrame,
+                  start, as_of) -> DataFrame:
+    """(date, client, cm, rso, util_rso, act, dp) for spine days with ``cm > 0``.
+
+    A (client, day) without cm is dropped.
+    """
+    lo = as_date(start).cast("timestamp_ntz")
+    hi = F.date_add(end_of_month(as_of), 1).cast("timestamp_ntz")
+    facts = fct_request.filter((F.col("added_dt") >= lo) & (F.col("added_dt") < hi))
+    return metrics_of(day_counts(facts, spr_act), spr_client)
+
+
+def with_target(metrics: DataFrame, plan: DataFrame) -> DataFrame:
+    """The metrics with their month and each plan target that covers the day."""
     p = (plan.select(F.col("client").alias("_p_client"), F.col("target").alias("target_monthly"),
                             F.col("effective_from").alias("_p_from"),
                             F.col("effective_to").alias("_p_to")))
     cond = ((metrics["client"] == p["_p_client"]) & (metrics["date"] >= p["_p_from"])
             & (metrics["date"] < p["_p_to"]))
-    base = (metrics.join(p, cond, "left")
+    return (metrics.join(p, cond, "left")
             .select("date", month_label(F.col("date")).alias("month"), "client", "cm", "rso",
                     "util_rso", "act", "dp",
                     (F.col("cm") + F.col("rso") + F.col("act")).alias("cm_rso_act"),
                     "target_monthly"))
-    totals = base.groupBy("client", "month").agg(
+
+
+def month_totals(base: DataFrame) -> DataFrame:
+    return base.groupBy("client", "month").agg(
         F.sum("cm_rso_act").alias("total"),
         F.sum(F.col("cm_rso_act") + F.col("dp")).alias("total_with_dp"))
+
+
+def with_previous(totals: DataFrame) -> DataFrame:
+    """Totals by (client, month) with those of the previous month that has data."""
     totals = previous_value(totals, "client", "month", ["total", "total_with_dp"])
-    # (client, month) rows: small, but counting it would recompute the whole
-    # chain; AQE turns this join into a broadcast from the measured size
-    totals = (totals.select(
+    return totals.select(
         "client", "month", "total", "total_with_dp",
         F.col("total_prev").alias("prev_month_total"),
-        F.col("total_with_dp_prev").alias("prev_month_total_with_dp")))
+        F.col("total_with_dp_prev").alias("prev_month_total_with_dp"))
+
+
+def daily_pivot(metrics: DataFrame, plan: DataFrame) -> DataFrame:
+    """Metrics x plan target, monthly totals, previous month and forecast."""
+    base = with_target(metrics, plan)
+    # (client, month) rows: small, but counting it would recompute the whole
+    # chain; AQE turns this join into a broadcast from the measured size
+    return pivot_rows(base, with_previous(month_totals(base)))
+
+
+def pivot_rows(base: DataFrame, totals: DataFrame) -> DataFrame:
     out = base.join(totals, ["client", "month"])
     d_prev, d_curr = days_in_prev_month(F.col("date")), days_in_month(F.col("date"))
     forecast = (F.col("prev_month_total").cast("double") / d_prev) * F.lit(float(specs.FORECAST_DAYS))

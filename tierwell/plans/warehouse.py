@@ -203,6 +203,21 @@ class Warehouse:
                                      self._keep(self.fct_case))
 
     # --- reports ----------------------------------------------------------
+    @cached_property
+    def pivot_state(self):
+        from . import incremental
+        return incremental.build(self.fct_request, self.dims["spr_client"], self.dims["spr_act"], self.stg_rso_plan,
+                                 self.start, self.as_of)
+
+    @cached_property
+    def pivot_state_second(self):
+        """The pivot after the second load, kept up from the fact's changes."""
+        from . import incremental
+        feed = self._keep(incremental.row_changes(self.fct_request, self.fct_request_second, "request_number",
+                                                  incremental.FEED))
+        return incremental.apply(self.pivot_state, feed, self.dims["spr_client"], self.dims["spr_act"],
+                                 self.stg_rso_plan)
+
     @cached_property
     def spine(self) -> DataFrame:
         return date_spine(self.spark, self.start, self.as_of)
