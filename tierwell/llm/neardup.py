@@ -10,23 +10,28 @@
    and are candidates. Each class is paired with the bucket's centre (its
    smallest class) only, and the pair is confirmed on the full sets.
 4. Confirmed links are joined to components. A bucket whose members are in one
-   component is done: no further link changes anything.
-5. A member outside the component of its bucket's centre is compared with the
-   whole component, which is cut into pieces of bounded size; one link is
-   enough. Links let components grow, so this is repeated with what joined
-   since the last round, until no link is added.
-6. What is left of a bucket then lies outside the centre's component; those
-   members are compared with each other, again in bounded pieces. Links added
-   here need no further round: of a pair of a bucket, both were outside and are
-   compared here, or one was inside and step 5 has compared the other with it.
+   component is done: no further link changes anything. Of every other
+   bucket, the component with most of its members is its *home*.
+5. The members outside their home are cut into pieces of bounded size, each
+   with a few representatives of the bucket (its first and last outside
+   member, the first of the home), and compared piece by piece. That joins
+   nearly all of what belongs together; homes are then chosen again.
+6. What is still outside its home is compared with the whole home component and
+   with everything else that is outside the home in its bucket, in pieces of
+   bounded size. Nothing needs repeating: of a candidate pair either both were
+   in the home, or one was and the other has met the whole home, or both
+   were outside and have met each other.
 
 So every candidate pair is confirmed, or its ends are already connected;
 nothing is capped. Comparisons happen inside tasks on pieces of a bucket, so
-no pair of a group is ever a row; only links are.
+no pair of a group is ever a row; only links are. Joins on a bucket or a component,
+which may hold a third of all classes, are salted by the class.
 """
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -247,14 +252,24 @@ def merged(comps: DataFrame, links: DataFrame) -> DataFrame:
     return materialize(comps.join(up, "comp", "left").select("cls", F.coalesce("further", "comp").alias("comp")))
 
 
-def _members(buckets: DataFrame, comps: DataFrame) -> DataFrame:
-    """Members of buckets outside their centre's component, with both (a lone class is its own)."""
-    own = comps.select("cls", F.col("comp").alias("own"))
-    mid = comps.select(F.col("cls").alias("centre"), F.col("comp").alias("mid"))
-    return (buckets.join(own, "cls", "left").join(mid, "centre", "left")
-            .select("bucket", "cls", "centre", F.coalesce("own", "cls").alias("comp"),
-                    F.coalesce("mid", "centre").alias("mid"), F.col("mid").isNotNull().alias("grown"))
-            .where("comp <> mid"))
+#: Salts of a join on a bucket or component.
+SALTS = 32
+
+
+def _salted(rows: DataFrame, sizes: DataFrame, key: str) -> DataFrame:
+    """``rows`` (with a class) joined with one row per ``key``; a hot key is spread over ``SALTS`` tasks."""
+    left = rows.withColumn("_salt", F.pmod(F.xxhash64("cls"), F.lit(SALTS)).cast("int"))
+    right = sizes.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return left.join(right, [key, "_salt"]).drop("_salt")
+
+
+def _outside(buckets: DataFrame, comps: DataFrame) -> DataFrame:
+    """(bucket, cls, comp, home, first): members outside their bucket's home, and the home's first member there."""
+    own = materialize(buckets.join(comps, "cls", "left").select("bucket", "cls", F.coalesce("comp", "cls").alias("comp")))
+    tally = own.groupBy("bucket", "comp").agg(F.count("*").alias("n"), F.min("cls").alias("first"))
+    homes = (tally.groupBy("bucket").agg(F.max(F.struct("n", "comp", "first")).alias("h"), F.count("*").alias("k"))
+             .where("k > 1").select("bucket", F.col("h.comp").alias("home"), F.col("h.first").alias("first")))
+    return materialize(_salted(own, homes, "bucket").where("comp <> home"))
 
 
 def _piece_of(column: str, pieces: str):
@@ -265,46 +280,53 @@ def _numbers(pieces: str):
     return F.explode(F.sequence(F.lit(0), F.col(pieces).cast("int") - 1))
 
 
-def _against_components(members: DataFrame, comps: DataFrame, before: DataFrame | None) -> DataFrame:
-    """Pieces ``(g1, fresh, g2, g3, cls, ask, hold)``: unsettled members beside pieces of the centre's component.
-
-    ``before`` has the components of the last round (None: every class was its
-    own). A member was compared with the whole component its centre had then.
-    Where that one kept its name, only classes that joined it are held
-    (``fresh``), else the whole component.
-    """
-    was = F.col("cls") if before is None else F.coalesce("was", "cls")
-    now = comps if before is None else comps.join(before.select("cls", F.col("comp").alias("was")), "cls", "left")
-    now = now.select("cls", F.col("comp").alias("mid"), (was != F.col("comp")).alias("joined"))
-    moved = now.select(F.col("cls").alias("centre"), "joined")
-    asked = (members.where("grown").join(moved, "centre")
-             .groupBy("mid", "cls").agg((~F.max("joined")).alias("fresh")))
-    held = now.withColumn("fresh", F.explode(F.when(F.col("joined"), F.array(F.lit(False), F.lit(True)))
-                                             .otherwise(F.array(F.lit(False)))))
-    sizes = (asked.groupBy("mid", "fresh").agg(F.ceil(F.count("*") / PIECE).alias("asks"))
-             .join(held.groupBy("mid", "fresh").agg(F.ceil(F.count("*") / PIECE).alias("holds")), ["mid", "fresh"]))
-    ask = (asked.join(sizes, ["mid", "fresh"])
-           .select(F.col("mid").alias("g1"), "fresh", _piece_of("cls", "asks").alias("g2"), _numbers("holds").alias("g3"),
-                   "cls", F.lit(True).alias("ask"), F.lit(False).alias("hold")))
-    hold = (held.join(sizes, ["mid", "fresh"])
-            .select(F.col("mid").alias("g1"), "fresh", _numbers("asks").alias("g2"), _piece_of("cls", "holds").alias("g3"),
-                    "cls", F.lit(False).alias("ask"), F.lit(True).alias("hold")))
-    return ask.union(hold)
-
-
-def _among_rest(members: DataFrame) -> DataFrame:
-    """Pieces of what is left of buckets: the members outside the centre's component, each with each."""
-    rest = members.select("bucket", "cls", "comp")
-    open_ = (rest.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-                                        F.count("*").alias("size"), F.sum(F.xxhash64("cls").cast("decimal(38,0)")).alias("same"))
-             .where("lo <> hi")
-             # bands that gather the same members need one comparison
-             .groupBy("size", "same", "lo", "hi").agg(F.min("bucket").alias("bucket"))
-             .select("bucket", F.ceil(F.col("size") / PIECE).alias("pieces")))
-    return (rest.join(open_, "bucket")
-            .withColumn("own", _piece_of("cls", "pieces")).withColumn("other", _numbers("pieces"))
-            .select(F.col("bucket").alias("g1"), F.lit(False).alias("fresh"), F.least("own", "other").alias("g2"),
-                    F.greatest("own", "other").alias("g3"), "cls", F.lit(True).alias("ask"), F.lit(True).alias("hold")))
+def _open(outside: DataFrame) -> DataFrame:
+    """One row per bucket with members outside; of buckets that gather the same members, one is kept."""
+    return (outside.groupBy("bucket").agg(
+        F.count("*").alias("size"), F.sum(F.xxhash64("cls").cast("decimal(38,0)")).alias("same"),
+        F.min("cls").alias("lo"), F.max("cls").alias("hi"), F.min("comp").alias("one"), F.max("comp").alias("two"),
+        F.min("home").alias("home"), F.min("first").alias("first"))
+        .groupBy("size", "same", "lo", "hi", "home", "one", "two").agg(F.min(F.struct("bucket", "first")).alias("b"))
+        .select("b.*", "lo", "hi", "one", "two", F.ceil(F.col("size") / PIECE).alias("pieces")))
+
+
+def _side(side: bool, g1, g2, g3, ask: bool, hold: bool) -> list:
+    return [F.lit(side).alias("side"), g1.alias("g1"), g2.alias("g2"), g3.alias("g3"), F.col("cls"),
+            F.lit(ask).alias("ask"), F.lit(hold).alias("hold")]
+
+
+def _near_pieces(outside: DataFrame) -> DataFrame:
+    """Pieces ``(side, g1, g2, g3, cls, ask, hold)`` of the members outside, with the bucket's representatives in each."""
+    open_ = materialize(_open(outside))
+    nil = F.lit(0)
+    own = _salted(outside.select("bucket", "cls"), open_.select("bucket", "pieces"), "bucket").select(
+        *_side(True, F.col("bucket"), _piece_of("cls", "pieces"), nil, True, True))
+    first = (open_.select("bucket", _numbers("pieces").alias("n"), F.array("lo", "hi", "first").alias("c"))
+             .select("bucket", "n", F.explode("c").alias("cls")).distinct()
+             .select(*_side(True, F.col("bucket"), F.col("n"), nil, True, True)))
+    return own.union(first)
+
+
+def _all_pieces(outside: DataFrame, comps: DataFrame) -> DataFrame:
+    """Pieces in which every member outside meets its whole home, and all others outside of its bucket."""
+    # homes are components; their names and classes' names are of one kind, and so are buckets' (a long)
+    asked = outside.select(F.col("home").alias("comp"), "cls").distinct()
+    lone = outside.select(F.col("home").alias("comp")).distinct().join(comps, "comp", "left_anti")
+    held = comps.select("comp", "cls").union(lone.select("comp", F.col("comp").alias("cls")))
+    sizes = (asked.groupBy("comp").agg(F.ceil(F.count("*") / PIECE).alias("asks"))
+             .join(held.groupBy("comp").agg(F.ceil(F.count("*") / PIECE).alias("holds")), "comp")
+             .withColumn("name", F.xxhash64("comp")))
+    sizes = materialize(sizes)
+    # different homes under one name would only compare more: a piece's links are confirmed on their sets
+    ask = _salted(asked, sizes, "comp").select(
+        *_side(False, F.col("name"), _piece_of("cls", "asks"), _numbers("holds"), True, False))
+    hold = _salted(held, sizes, "comp").select(
+        *_side(False, F.col("name"), _numbers("asks"), _piece_of("cls", "holds"), False, True))
+    several = materialize(_open(outside).where("one <> two").select("bucket", "pieces"))
+    among = (_salted(outside.select("bucket", "cls"), several, "bucket")
+             .withColumn("own", _piece_of("cls", "pieces")).withColumn("other", _numbers("pieces"))
+             .select(*_side(True, F.col("bucket"), F.least("own", "other"), F.greatest("own", "other"), True, True)))
+    return ask.union(hold).union(among)
 
 
 def find_components(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id",
@@ -338,22 +360,17 @@ def find_components(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     links = checkpointed(pairs.join(own, "a").join(mid, "b").select("a", "b", "ha", "hb")
                          .mapInArrow(_confirm(percent), link_type))
 
-    def compared(pieces: DataFrame) -> DataFrame:
-        return materialize(pieces.join(hashes, "cls").groupBy("g1", "fresh", "g2", "g3")
-                           .applyInArrow(_links_in_piece(percent, arrow), link_type))
+    def joined(comps: DataFrame, pieces: DataFrame) -> DataFrame:
+        found = materialize(pieces.join(hashes, "cls").groupBy("side", "g1", "g2", "g3")
+                            .applyInArrow(_links_in_piece(percent, arrow), link_type))
+        return comps if found.isEmpty() else merged(comps, found)
 
-    comps, before = materialize(components(links)), None
-    buckets = buckets.select("bucket", "cls", "centre")
-    while True:
-        members = materialize(_members(buckets, comps))
-        pieces = materialize(_against_components(members, comps, before))
-        more = None if pieces.isEmpty() else compared(pieces)
-        if more is None or more.isEmpty():
+    comps, buckets = materialize(components(links)), buckets.select("bucket", "cls")
+    for pieces in (lambda out, _: _near_pieces(out), _all_pieces):
+        outside = _outside(buckets, comps)
+        if outside.isEmpty():
             break
-        comps, before = merged(comps, more), comps
-    more = compared(_among_rest(members))
-    if not more.isEmpty():
-        comps = merged(comps, more)
+        comps = joined(comps, pieces(outside, comps))
 
     named = classes.select("s1", "s2", "cls").join(comps, "cls", "left") \
         .select("s1", "s2", F.coalesce("comp", "cls").alias("comp"))
@@ -366,6 +383,6 @@ def find_components(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
 def drop_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id",
                          text_col: str = "text") -> DataFrame:
     """The documents with one of each component left (that of the smallest id); the columns stay."""
-    gone = find_components(docs, shingle, percent, id_col, text_col).where("not kept") \
-        .select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col] == F.col("__gone"), "left_anti")
+    gone = find_components(docs, shingle, percent, id_col, text_col).where("not kept")
+    gone = gone.select(F.col("doc_id").alias(f"gone_{uuid.uuid4().hex}")).distinct()
+    return docs.join(gone, docs[id_col] == gone[gone.columns[0]], "left_anti")
