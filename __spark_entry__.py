@@ -156,12 +156,12 @@ def _reference_list(spark, sf_dir):
 
 def _rejects_two_batches(spark, sf_dir):
     # the second batch is stored twice, as a rerun would: its rows are replaced
-    from tierwell.sources.store import scratch_dir, write_batch
+    from tierwell.sources.store import read_batches, scratch_dir, write_batch
     base, C = scratch_dir(spark, "rejects"), specs.CASE
-    for batch, number in (("one", 1), ("two", 2), ("two", 2)):
+    for batch, number in (("a/b", 1), ("a:b", 2), ("a:b", 2), ("007", 2)):
         write_batch(gate.rejected_rows(fx.stg_case(spark, sf_dir, number), C.required).select(*C.columns),
                     base, "rejected_stg_case", batch)
-    return spark.read.parquet(f"{base}/rejected_stg_case").select(*C.columns, "batch")
+    return read_batches(spark, base, "rejected_stg_case").select(*C.columns, "batch")
 
 
 def _bucketed(spec, batches):

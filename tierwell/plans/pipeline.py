@@ -31,7 +31,7 @@ DIM_ORDER = ["spr_client", "spr_agent", "spr_customer", "spr_phone", "spr_email"
 
 def run_batch(spark: SparkSession, store: SnapshotStore, batch: dict[str, DataFrame], as_of,
               stg_currency: DataFrame | None = None,
-              touched_only: bool = True) -> dict[str, DataFrame]:
+              touched_only: bool = True, batch_id: str | None = None) -> dict[str, DataFrame]:
     tables: dict[str, DataFrame] = {}
     # 1. ODS
     for entity, spec in specs.ENTITIES.items():
@@ -41,9 +41,9 @@ def run_batch(spark: SparkSession, store: SnapshotStore, batch: dict[str, DataFr
             tables[f"ods_{entity}"] = current if current is not None else history.empty_ods(spark, spec)
             continue
         stg = stg.select(*spec.columns)
-        # under the batch's own name: a batch that is run again replaces its rejects
+        # under the batch's own name (its clock, if it has none): a batch that is run again replaces its rejects
         write_batch(gate.rejected_rows(stg, spec.required), store.base, f"rejected_stg_{entity}",
-                    str(as_of))
+                    batch_id or str(as_of))
         base = current if current is not None else history.empty_ods(spark, spec)
         new = history.load_history(base, stg, spec, as_of,
                                    touched_only=touched_only and current is not None)

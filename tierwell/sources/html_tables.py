@@ -24,7 +24,8 @@ class _Table:
     """One open table: finished rows, the open row and the open cell."""
 
     def __init__(self):
-        self.rows: list[tuple[bool, list[dict]]] = []
+        self.rows: list[tuple[int, bool, list[dict]]] = []
+        self.section = 0
         self.row: list[dict] | None = None
         self.cell: dict | None = None
         self.in_head = False
@@ -39,13 +40,15 @@ class _Table:
         self.end_cell()
         if self.row is not None:
             head = bool(self.row) and (self.in_head or all(c["th"] for c in self.row))
-            self.rows.append((head, self.row))
+            self.rows.append((self.section, head, self.row))
             self.row = None
 
     def grid(self) -> list[tuple[bool, list[str]]]:
         """Rows as texts, with cells repeated over the columns and rows they span."""
-        out, below = [], {}                  # column -> (text, rows still covered)
-        for head, cells in self.rows:
+        out, below, section = [], {}, 0      # column -> (text, rows still covered)
+        for at_section, head, cells in self.rows:
+            if at_section != section:        # no span leaves its section
+                below, section = {}, at_section
             row, queue = [], list(cells)
             while queue or any(c >= len(row) for c in below):
                 at = len(row)
@@ -71,9 +74,18 @@ class _Table:
         return out
 
 
+#: The largest spans that HTML knows.
+_MOST = {"colspan": 1000, "rowspan": 65534}
+
+
 def _span(attrs, name: str) -> int:
-    value = dict(attrs).get(name) or ""
-    return min(max(int(value), 1), 1000) if value.strip().isdigit() else 1
+    """Columns or rows that a cell spans; a ``rowspan`` of 0 lasts to the end of the rows' section."""
+    value = (dict(attrs).get(name) or "").strip()
+    if not (value.isascii() and value.isdigit()):
+        return 1
+    if name == "rowspan" and int(value) == 0:
+        return _MOST[name]
+    return min(max(int(value), 1), _MOST[name])
 
 
 class _Tables(HTMLParser):
@@ -103,6 +115,7 @@ class _Tables(HTMLParser):
         t = self._open[-1]
         if tag in ("thead", "tbody", "tfoot"):
             t.end_row()
+            t.section += 1
             t.in_head = tag == "thead"
         elif tag == "tr":
             t.end_row()
@@ -124,10 +137,11 @@ class _Tables(HTMLParser):
         t = self._open[-1]
         if tag in ("td", "th"):
             t.end_cell()
-        elif tag in ("tr", "tbody", "tfoot"):
+        elif tag == "tr":
             t.end_row()
-        elif tag == "thead":
+        elif tag in ("thead", "tbody", "tfoot"):
             t.end_row()
+            t.section += 1
             t.in_head = False
         elif tag == "table":
             t.end_row()

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 COMMITTED = "_COMMITTED"
 
@@ -52,13 +52,27 @@ def load_layer(df: DataFrame, table: str, base: str, layer: str = "stg") -> Data
                                  "table_name string, rows_written long, rows_read long")
 
 
+def _folder_name(batch: str) -> str:
+    """A batch's name as a folder name that Spark reads back as the same text."""
+    return re.sub(r"[^0-9A-Za-z_.-]", lambda m: f"%{ord(m[0]):02X}" if ord(m[0]) < 128 else m[0], batch)
+
+
 def write_batch(df: DataFrame, base: str, table: str, batch: str) -> int:
     """Store one batch's rows of a table; running the batch again replaces them.
 
-    The table is read as ``<base>/<table>`` and has the batch as column ``batch``.
+    Batches of different names never touch each other's rows. The table is read
+    with :func:`read_batches`.
     """
-    name = re.sub(r"[^0-9A-Za-z_.-]+", "_", str(batch))
-    return write_counted(df, f"{base.rstrip('/')}/{table}/batch={name}")
+    if not str(batch):
+        raise ValueError("a batch needs a name")
+    return write_counted(df, f"{base.rstrip('/')}/{table}/batch={_folder_name(str(batch))}")
+
+
+def read_batches(spark: SparkSession, base: str, table: str) -> DataFrame:
+    """All batches of a table, with the batch's name as text column ``batch``."""
+    path = f"{base.rstrip('/')}/{table}"
+    fields = [f for f in spark.read.parquet(path).schema.fields if f.name != "batch"]
+    return spark.read.schema(T.StructType([*fields, T.StructField("batch", T.StringType())])).parquet(path)
 
 
 class SnapshotStore:
