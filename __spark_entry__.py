@@ -258,6 +258,16 @@ def _table_copy_counts(spark, sf_dir):
     return copy_tables(spark, COPY_TABLES, sf_dir, scratch_dir(spark, "copy"))
 
 
+def _table_copy_content(spark, sf_dir):
+    from tierwell.sources.copy import copy_tables_checked
+    from tierwell.sources.store import scratch_dir
+    base = scratch_dir(spark, "copy")
+    same = copy_tables_checked(spark, COPY_TABLES, sf_dir, f"{base}/parquet")
+    other = copy_tables_checked(spark, ["customer", "orders"], sf_dir, f"{base}/csv", dst_fmt="csv",
+                                dst_options={"header": "true", "sep": "|"})
+    return same.withColumn("store", F.lit("parquet")).unionByName(other.withColumn("store", F.lit("csv")))
+
+
 _stg_case = lambda s, d: fx.stg_case(s, d)
 _stg_request = lambda s, d: fx.stg_request(s, d)
 _stg_address = lambda s, d: fx.stg_address(s, d)
@@ -329,6 +339,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ingest_xlsx": _ingest_xlsx,
         "table_copy_counts": _table_copy_counts,
         "table_copy_other_store": _table_copy_other_store,
+        "table_copy_content": _table_copy_content,
     }
     if _LLM:
         from tierwell.llm.queries import queries as llm_queries

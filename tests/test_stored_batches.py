@@ -36,3 +36,27 @@ def test_long_spans():
     assert len(got) == 1500 and all(r == ["a", str(i)] for i, r in enumerate(got))
     assert len(cells("<table><tr><td colspan=4000>w</table>")[0]) == 1000
     assert cells("<table><tr><td colspan=-1>w<td rowspan='²'>x</table>") == [["w", "x"]]
+
+
+def test_a_changed_cell_is_reported(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from tierwell.sources.copy import content_of, copy_tables_checked
+    src, dst = str(tmp_path / "src"), str(tmp_path / "dst")
+    df = spark.createDataFrame([(1, "a", None), (2, None, "a"), (2, None, "a"), (3, "", "b|c")], "i long, s string, t string")
+    df.write.parquet(f"{src}/t.parquet")
+    df.where("false").write.parquet(f"{src}/none.parquet")
+    got = copy_tables_checked(spark, ["t", "none"], src, dst)
+    assert rows(got) == [("none", 0, 0, True), ("t", 4, 4, True)]
+    whole = content_of(spark, f"{dst}/t", df.schema)
+    changed = [df.withColumn("t", F.when(F.col("i") == 3, "b|d").otherwise(F.col("t"))),
+               df.select("i", F.col("t").alias("s"), F.col("s").alias("t")), df.limit(3), df.union(df.limit(1)),
+               df.withColumn("s", F.when(F.col("s") == "", None).otherwise(F.col("s")))]
+    for k, other in enumerate(changed):
+        other.write.parquet(f"{dst}/changed{k}")
+        assert content_of(spark, f"{dst}/changed{k}", df.schema) != whole, k
+    df.repartition(3, "s").write.parquet(f"{dst}/moved")
+    assert content_of(spark, f"{dst}/moved", df.schema) == whole
+    # a copy that loses the difference of null and empty text is found out
+    csv = copy_tables_checked(spark, ["t"], src, str(tmp_path / "csv"), dst_fmt="csv",
+                              dst_options={"header": "true", "emptyValue": "", "nullValue": ""})
+    assert rows(csv) == [("t", 4, 4, False)]

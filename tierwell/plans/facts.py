@@ -19,7 +19,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from .. import specs
 from ..functions import keys as K
 from ..operators import merge
+from ..operators.bloom import bloom_semi_join
 from ..operators.lookup import dim_pairs, lookup, star_lookup
+from ..session import materialize
 from ..specs import EFFECTIVE_FROM, IS_ACTIVE
 
 REQUEST_FACT_COLUMNS = [
@@ -177,9 +179,10 @@ def case_fact_source(ods_case: DataFrame, fct_request: DataFrame, dims: dict[str
                      "case_status", "initial_agent", "responsible_agent", "contact_method",
                      "contact_source", "current_location", "current_phone"))
     # distinct first: duplicates (one case, many requests) collapse map-side
-    referenced = (fct_request.select(K.case_key_of_request("request_number").alias("_case_key"))
-                  .distinct())
-    cases = cases.join(referenced, "_case_key", "left_semi")
+    referenced = materialize(fct_request.select(K.case_key_of_request("request_number").alias("_case_key"))
+                             .distinct())
+    # cases that no request points to are dropped before the shuffle
+    cases = bloom_semi_join(cases, referenced, "_case_key")
 
     out = lookup(cases, dim_pairs(dims["spr_client"], "client"), "client", "spr_client_id")
     customers = (dims["spr_customer"]

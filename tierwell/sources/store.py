@@ -9,6 +9,8 @@
 * ``load_layer`` (S4, S5, S9): overwrite ``<base>/<layer>_<table>`` and return
   the reconciliation of rows written (observed during the write) against
   rows read back.
+* ``write_checked``, ``checksum``: the content of a table as one row, observed during
+  the write and comparable with what is read back.
 * ``write_batch`` (M8): the rows of one batch of a table (rejects), kept under
   the batch's name, so a batch that is run again replaces its own rows.
 """
@@ -41,6 +43,27 @@ def write_counted(df: DataFrame, path: str, mode: str = "overwrite", fmt: str =
     return int(obs.get["n"])
 
 
+def checksum(columns) -> list:
+    """Aggregates that stand for a multiset of rows: their number, and sums of two hashes of each row.
+
+    Order does not matter, and a changed, missing or doubled row does. NULLs are
+    told apart from what they leave out.
+    """
+    nulls = F.concat(F.lit(""), *[F.when(F.col(c).isNull(), "1").otherwise("0") for c in columns])
+    one = F.xxhash64(nulls, *[F.col(c) for c in columns])
+    two = F.xxhash64(*[F.col(c) for c in reversed(list(columns))], nulls, F.lit("c"))
+    total = lambda h: F.coalesce(F.sum(h.cast("decimal(38,0)")), F.lit(0)).cast("string")
+    return [F.count(F.lit(1)).alias("n"), total(one).alias("h1"), total(two).alias("h2")]
+
+
+def write_checked(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet",
+                  options: dict | None = None) -> dict:
+    """Write ``df`` and return the checksum of the rows as they were written (one pass, observed)."""
+    obs = Observation("content_written")
+    (df.observe(obs, *checksum(df.columns)).write.mode(mode).format(fmt).options(**(options or {})).save(path))
+    return dict(obs.get)
+
+
 def load_layer(df: DataFrame, table: str, base: str, layer: str = "stg") -> DataFrame:
     """Overwrite ``<layer>_<table>``; one-row reconciliation (table, written, read)."""
     spark = df.sparkSession
