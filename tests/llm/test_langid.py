@@ -58,3 +58,36 @@ def test_nothing_to_learn(spark):
     assert langid.fit(df) is None
     empty = spark.createDataFrame([], "doc_id long, text string, lang string")
     assert langid.fit(empty) is None and langid.predict(empty, None).collect() == []
+
+
+def test_left_out_languages_are_rejected_and_clean_texts_kept(spark, docs, model):
+    """The two rates of the rejection: 0.9 of an unlearned language out, 0.99 of known texts in."""
+    held = docs.where(langid.held_out() & langid.F.col("lang").isNotNull() & langid.F.col("text").isNotNull())
+    kept = [not r.rejected for r in langid.predict(held, model).collect() if r.lang_pred != "und"]
+    assert len(kept) > 200 and np.mean(kept) >= 0.99
+    for lang in ("de", "fr"):
+        # the label is taken away, so that the language is not learned
+        rest = docs.withColumn("lang", langid.F.when(langid.F.col("lang") != lang, langid.F.col("lang")))
+        partial = langid.fit(rest, per_language=200)
+        assert lang not in partial.langs
+        found = langid.predict(held, partial).join(held.select("doc_id", "lang"), "doc_id").collect()
+        out = [r.rejected for r in found if r.lang == lang]
+        known = [r.rejected for r in found if r.lang != lang and r.lang_pred != "und"]
+        assert np.mean(out) >= 0.9 and np.mean(known) <= 0.01, (lang, np.mean(out), np.mean(known))
+
+
+def test_foreign_shuffled_mixed_and_short_texts(docs, model):
+    texts = [r.text for r in docs.where("lang = 'en' and length(text) > 400").limit(60).collect()]
+    other = [r.text for r in docs.where("lang = 'fr' and length(text) > 400").limit(60).collect()]
+    rejected = lambda xs: float(np.mean(model.predict(xs)[2]))
+    assert rejected([langid.shuffled(t) for t in texts]) >= 0.9
+    assert rejected(["правительство решило повысить налоги и люди недовольны " * 5] * 3) == 1
+    assert rejected([a[:400] + " " + b[:400] for a, b in zip(texts, other)]) <= 0.02
+    assert rejected([" ".join(t.split()[:4]) for t in texts]) <= 0.05
+    assert sorted(langid.shuffled("ab, cd é!")) == sorted("ab, cd é!") and langid.shuffled("")  == ""
+
+
+def test_many_labels_are_all_learned(spark):
+    rows = [(i, f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)} " * 9, f"l{i % 300:03}") for i in range(1500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert len(langid.fit(df).langs) == 300
