@@ -39,8 +39,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that hold a benchmark phrase."""
     found = decontam.search(decontam.build_index(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    leaks = found.where("n_hit > 0").select(F.col("doc_id").alias("__leak")).distinct()
-    return docs.join(leaks, docs["doc_id"] == F.col("__leak"), "left_anti")
+    name = f"leak_{uuid.uuid4().hex}"
+    leaks = found.where("n_hit > 0").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(leaks, docs["doc_id"] == leaks[name], "left_anti")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

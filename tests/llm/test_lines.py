@@ -44,6 +44,13 @@ def test_lines_equal_brute_force(spark):
     assert same.where("doc_id = 200").head().text is None
 
 
+def test_columns_that_look_like_the_operators_own(spark):
+    df = spark.createDataFrame([(i, "a" * 12, "x", "y") for i in range(6)],
+                               "doc_id long, text string, `__gone` string, `__marked` string")
+    kept = lines.dedup_lines(df, min_chars=11, keep_columns=True)
+    assert kept.columns == df.columns and sorted(r.text for r in kept.collect()) == [""] * 5 + ["a" * 12]
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert lines.dedup_lines(df).collect() == []

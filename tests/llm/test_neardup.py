@@ -136,3 +136,9 @@ def test_block_of_fewer_words_than_a_shingle(spark, words):
     assert len(alone[0]) == 1 and alone[0].tolist() == beside[1].tolist()
     df = spark.createDataFrame([(1, text)], "doc_id long, text string")
     assert [tuple(r) for r in neardup.find_components(df, 5).collect()] == [(1, 1, 1, True)]
+
+
+def test_dropping_keeps_columns_of_any_name(spark):
+    df = spark.createDataFrame([(1, "a b c", "x"), (2, "a b c", "y")], "doc_id long, text string, `__gone` string")
+    kept = neardup.drop_near_duplicates(df, 2)
+    assert kept.columns == df.columns and [tuple(r) for r in kept.collect()] == [(1, "a b c", "x")]

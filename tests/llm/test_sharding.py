@@ -60,3 +60,13 @@ def test_empty_and_written(spark, tmp_path):
     sharding.write_shards(docs, str(tmp_path / "out"), 3)
     back = spark.read.parquet(str(tmp_path / "out"))
     assert back.count() == 50 and {"text", "extra", "slot", "shard"} <= set(back.columns)
+
+
+def test_written_shards_keep_columns_that_clash(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"text {i}", i * 10, f"s{i}", -i, "c") for i in range(20)],
+                                 "doc_id long, text string, size long, shard string, slot int, shard_size string")
+    sharding.write_shards(docs, str(tmp_path / "out"), 3)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(map(tuple, back.select(*docs.columns).collect())) == sorted(map(tuple, docs.collect()))
+    assert {"shard_shard", "shard_slot", "shard_size_", "text_crc32"} <= set(back.columns)
+    assert {r[0] for r in back.select("shard_shard").collect()} == {0, 1, 2}

@@ -11,6 +11,7 @@ is reassembled from the lines that stay, in order.
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -93,9 +94,11 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5,
     common = (pairs.groupBy("h1", "h2")
               .agg(F.count("doc_id").alias("n"), F.max("doc_id").alias("last"))
               .where(F.col("n") >= min_docs).drop("n"))
+    # names of their own, so that no column of the documents clashes
+    marked, gone = (f"lines_{uuid.uuid4().hex}" for _ in range(2))
     marks = (pairs.join(common, ["h1", "h2"]).where("doc_id <> last")
-             .groupBy(F.col("doc_id").alias("__marked"))
-             .agg(F.collect_set(F.struct("h1", "h2")).alias("__gone")))
+             .groupBy(F.col("doc_id").alias(marked))
+             .agg(F.collect_set(F.struct("h1", "h2")).alias(gone)))
     if keep_columns:
         left = docs
         names, text_at = docs.columns, docs.columns.index(text_col)
@@ -106,7 +109,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5,
         schema = T.StructType([*left.schema.fields, T.StructField("n_lines", T.LongType()),
                                T.StructField("n_dropped", T.LongType())])
         id_col = "doc_id"
-    joined = left.join(marks, left[id_col] == marks["__marked"], "left").drop("__marked")
+    joined = left.join(marks, left[id_col] == marks[marked], "left").drop(marked)
     return joined.mapInArrow(_rebuild(min_chars, names, text_at), schema)
 
 

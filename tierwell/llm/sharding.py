@@ -18,6 +18,8 @@ from __future__ import annotations
 
 from bisect import bisect_left
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import checkpointed
@@ -140,11 +142,24 @@ def shard(docs: DataFrame, n_shards: int = 8, id_col: str = "doc_id", text_col:
                       *[F.col(f"__carry_{c}").alias(c) for c in carry or []])
 
 
+_OWN = ("doc_id", "size", "text_crc32", "shard", "slot")
+
+
 def write_shards(docs: DataFrame, path: str, n_shards: int = 8, id_col: str = "doc_id",
                  text_col: str = "text") -> None:
-    """Write the records as Parquet, one folder per shard (``shard=k``), with slot and size."""
-    rest = [c for c in docs.columns if c not in (id_col, "doc_id", "size", "text_crc32", "shard", "slot")]
-    shard(docs, n_shards, id_col, text_col, carry=rest).write.partitionBy("shard").parquet(path)
+    """Write the records as Parquet, one folder per shard (``shard=k``), with slot and size.
+
+    All columns of the documents are kept. Where one has the name of a column
+    of the operator, the operator's is written as ``shard_<name>``.
+    """
+    taken = [c for c in docs.columns if c in _OWN and c != id_col]
+    aside = {c: f"aside_{uuid.uuid4().hex}" for c in taken if c != text_col}
+    renamed = docs.withColumnsRenamed(aside)
+    rest = [c for c in renamed.columns if c not in (id_col, *_OWN)]
+    out = shard(renamed, n_shards, id_col, text_col, carry=rest)
+    own = {c: next(n for n in (f"shard_{c}" + "_" * k for k in range(99)) if n not in docs.columns) for c in taken}
+    out = out.withColumnsRenamed(own).withColumnsRenamed({v: k for k, v in aside.items()})
+    out.write.partitionBy(own.get("shard", "shard")).parquet(path)
 
 
 def digests(placed: DataFrame) -> DataFrame:
