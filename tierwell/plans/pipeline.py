@@ -8,10 +8,13 @@ and writes every table as a new snapshot of a :class:`SnapshotStore`:
    phone, e-mail, currency, country, city (upserts keep existing ids);
 3. facts: request fact upsert, RSO blanking over the whole fact, case fact.
 
-The currency list is passed, or read from the stored ``stg_currency``.
-Reports are read from the stored facts with :func:`reports_from_store`.
-Each stored table is read back from its snapshot, which cuts the lineage
-between steps (a lost executor recomputes from the last written table).
+The load is one :class:`Run`: its tables become current together, when its
+manifest is committed last, and a run that stopped is taken up where it
+stopped if it is started again under the same batch id. The currency list is passed,
+or read from the stored ``stg_currency``. Reports are read from the facts and dimensions
+of one committed run with :func:`reports_from_store`. Each stored table is
+read back from its snapshot, which cuts the lineage between steps (a lost
+executor recomputes from the last written table).
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import specs
 from ..operators import gate, history
 from ..session import materialize
-from ..sources.store import SnapshotStore, write_batch
+from ..sources.store import Run, RunView, SnapshotStore, write_batch
 from . import dims as D
 from . import facts, reports
 
@@ -32,27 +35,28 @@ DIM_ORDER = ["spr_client", "spr_agent", "spr_customer", "spr_phone", "spr_email"
 def run_batch(spark: SparkSession, store: SnapshotStore, batch: dict[str, DataFrame], as_of,
               stg_currency: DataFrame | None = None,
               touched_only: bool = True, batch_id: str | None = None) -> dict[str, DataFrame]:
+    run = Run(store, batch_id or str(as_of))
     tables: dict[str, DataFrame] = {}
     # 1. ODS
     for entity, spec in specs.ENTITIES.items():
-        current = store.read(f"ods_{entity}")
+        current = run.before(f"ods_{entity}")
         stg = batch.get(entity)
         if stg is None:
             tables[f"ods_{entity}"] = current if current is not None else history.empty_ods(spark, spec)
             continue
         stg = stg.select(*spec.columns)
-        # under the batch's own name (its clock, if it has none): a batch that is run again replaces its rejects
-        write_batch(gate.rejected_rows(stg, spec.required), store.base, f"rejected_stg_{entity}",
-                    batch_id or str(as_of))
         base = current if current is not None else history.empty_ods(spark, spec)
-        new = history.load_history(base, stg, spec, as_of,
-                                   touched_only=touched_only and current is not None)
-        tables[f"ods_{entity}"] = store.write(f"ods_{entity}", new)
+
+        def load(stg=stg, spec=spec, entity=entity, base=base, touched=touched_only and current is not None):
+            # under the batch's own name (its clock, if it has none): a batch that is run again replaces its rejects
+            write_batch(gate.rejected_rows(stg, spec.required), store.base, f"rejected_stg_{entity}", run.run_id)
+            return history.load_history(base, stg, spec, as_of, touched_only=touched)
+        tables[f"ods_{entity}"] = run.write(f"ods_{entity}", load)
     ods = {e: tables[f"ods_{e}"] for e in specs.ENTITIES}
 
     # 2. dimensions
     values = D.ColumnValues(ods, keep=materialize)
-    enums = store.write("spr_enums", D.enum_dims(values, store.read("spr_enums")))
+    enums = run.write("spr_enums", lambda: D.enum_dims(values, run.before("spr_enums")))
     dims = {n: D.split_enum(enums, n) for n in D.ENUMS}
     if stg_currency is None:
         stg_currency = store.read("stg_currency")
@@ -72,23 +76,24 @@ def run_batch(spark: SparkSession, store: SnapshotStore, batch: dict[str, DataFr
         "spr_city": lambda cur: D.city_dim(values, dims["spr_country"], cur),
     }
     for name in DIM_ORDER:
-        dims[name] = store.write(name, build[name](store.read(name)))
+        dims[name] = run.write(name, lambda name=name: build[name](run.before(name)))
     tables.update(dims)
 
     # 3. facts
-    loaded = facts.build_request_fact(ods["request"], dims, store.read("fct_request"))
-    fct_request = store.write("fct_request", facts.blank_rso(loaded, dims["spr_request_type"]))
-    fct_case = store.write("fct_case", facts.build_case_fact(ods["case"], fct_request, dims,
-                                                             store.read("fct_case")))
+    fct_request = run.write("fct_request", lambda: facts.blank_rso(
+        facts.build_request_fact(ods["request"], dims, run.before("fct_request")), dims["spr_request_type"]))
+    fct_case = run.write("fct_case", lambda: facts.build_case_fact(
+        ods["case"], fct_request, dims, run.before("fct_case")))
     tables.update({"fct_request": fct_request, "fct_case": fct_case})
+    run.commit()
     return tables
 
 
 def reports_from_store(store: SnapshotStore, plan: DataFrame, start, as_of, window):
-    """R1-R4 over the stored request fact and dimensions."""
-    enums = store.read("spr_enums")
-    client = store.read("spr_client")
-    metrics = materialize(reports.daily_metrics(store.read("fct_request"), client,
+    """R1-R4 over the request fact and dimensions of the last committed run."""
+    current = RunView(store)
+    enums, client = current.read("spr_enums"), current.read("spr_client")
+    metrics = materialize(reports.daily_metrics(current.read("fct_request"), client,
                                                 D.split_enum(enums, "spr_act"), start, as_of))
     pivot = reports.daily_pivot(metrics, plan)
     return {

@@ -11,13 +11,17 @@
   rows read back.
 * ``write_checked``, ``checksum``: the content of a table as one row, observed during
   the write and comparable with what is read back.
+* ``Run``, ``RunView`` (S14): many tables written as one unit; a manifest names the
+  version of each, is committed last, and is what readers go by.
 * ``write_batch`` (M8): the rows of one batch of a table (rejects), kept under
   the batch's name, so a batch that is run again replaces its own rows.
 """
 
 from __future__ import annotations
 
+import json
 import re
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
@@ -26,7 +30,6 @@ COMMITTED = "_COMMITTED"
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A folder under the session's shared checkpoint directory."""
-    import uuid
     from ..session import ensure_checkpoint_dir
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tierwell-{name}-{uuid.uuid4().hex[:12]}"
 
@@ -145,3 +148,102 @@ class SnapshotStore:
     def commit(self, table: str, v: int) -> None:
         marker, fs = self._path(f"{self.base}/{table}/v={v}/{COMMITTED}")
         fs.create(marker, False).close()
+
+
+RUNS = "_runs"
+
+
+class RunView:
+    """The tables as one committed run left them: never a mixture of two runs.
+
+    ``number`` is the run's; the latest committed one by default.
+    """
+
+    def __init__(self, store: SnapshotStore, number: int | None = None):
+        self.store = store
+        self.number = store.version(RUNS) if number is None else number
+        self.tables: dict[str, int] = {} if not self.number else _load(store, f"{RUNS}/v={self.number}/run.json")["tables"]
+
+    def read(self, table: str) -> DataFrame | None:
+        v = self.tables.get(table)
+        return None if v is None else self.store.spark.read.parquet(f"{self.store.base}/{table}/v={v}")
+
+
+def _load(store: SnapshotStore, name: str) -> dict:
+    path, fs = store._path(f"{store.base}/{name}")
+    stream = fs.open(path)
+    try:
+        return json.loads(store.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def _save(store: SnapshotStore, name: str, content: dict) -> None:
+    """Write a small file under a name that no one else takes, whole or not at all."""
+    path, fs = store._path(f"{store.base}/{name}")
+    part, _ = store._path(f"{store.base}/{name}.{uuid.uuid4().hex}")
+    out = fs.create(part, False)
+    out.write(bytearray(json.dumps(content).encode()))
+    out.close()
+    if fs.exists(path) or not fs.rename(part, path):
+        fs.delete(part, False)
+        raise RuntimeError(f"{name} exists")
+
+
+class Run:
+    """One ordered run over a store, as a unit that can be taken up again.
+
+    Tables are written as snapshots, one after another, each noted when it is
+    stored. The run counts when its manifest (a version of every table) is
+    committed, last, under the number after the run it started from; if
+    another run took that number meanwhile, the commit raises. Readers go by
+    manifests (:class:`RunView`), so a run that stopped half way is never seen.
+
+    Starting a run under the same ``run_id`` again skips the tables that are
+    stored, and the whole run if it is committed. The tables it starts from
+    are those of the first start.
+    """
+
+    def __init__(self, store: SnapshotStore, run_id: str):
+        self.store, self.run_id = store, str(run_id)
+        self.folder = f"{RUNS}/id={_folder_name(self.run_id)}"
+        started, fs = store._path(f"{store.base}/{self.folder}/started.json")
+        if not fs.exists(started):
+            _save(store, f"{self.folder}/started.json", {"from": store.version(RUNS)})
+        self.base = _load(store, f"{self.folder}/started.json")["from"]
+        self._before = RunView(store, self.base or 0)
+        folder, _ = store._path(f"{store.base}/{self.folder}")
+        noted = (re.fullmatch(r"(\w+)=v(\d+)", x.getPath().getName()) for x in fs.listStatus(folder))
+        self.done = {m[1]: int(m[2]) for m in noted if m}
+
+    def before(self, table: str) -> DataFrame | None:
+        """The table as the run found it; None if no committed run has it."""
+        return self._before.read(table)
+
+    def write(self, table: str, build) -> DataFrame:
+        """The table of this run: stored already, or ``build()`` stored now."""
+        if table not in self.done:
+            self.store.write(table, build())
+            v = self.store.version(table)
+            note, fs = self.store._path(f"{self.store.base}/{self.folder}/{table}=v{v}")
+            fs.create(note, False).close()
+            self.done[table] = v
+        return self.store.spark.read.parquet(f"{self.store.base}/{table}/v={self.done[table]}")
+
+    def committed(self) -> bool:
+        store, n = self.store, (self.base or 0) + 1
+        return store.versions(RUNS).get(n, False) and _load(store, f"{RUNS}/v={n}/run.json")["run"] == self.run_id
+
+    def commit(self) -> None:
+        """Make this run's tables, and the untouched ones of the run before, the current ones."""
+        if self.committed():
+            return
+        n = (self.base or 0) + 1
+        try:
+            _save(self.store, f"{RUNS}/v={n}/run.json",
+                  {"run": self.run_id, "tables": {**self._before.tables, **self.done}})
+        except RuntimeError:
+            # this run's own manifest from a start that stopped before the marker is as good
+            if _load(self.store, f"{RUNS}/v={n}/run.json")["run"] != self.run_id:
+                raise RuntimeError(f"another run was committed since run {self.run_id} started") from None
+        self.store.commit(RUNS, n)
