@@ -260,7 +260,8 @@ def _salted(rows: DataFrame, sizes: DataFrame, key: str) -> DataFrame:
     """``rows`` (with a class) joined with one row per ``key``; a hot key is spread over ``SALTS`` tasks."""
     left = rows.withColumn("_salt", F.pmod(F.xxhash64("cls"), F.lit(SALTS)).cast("int"))
     right = sizes.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return left.join(right, [key, "_salt"]).drop("_salt")
+    # Spark's estimate does not see the copies and would broadcast them
+    return left.join(right.hint("merge"), [key, "_salt"]).drop("_salt")
 
 
 def _outside(buckets: DataFrame, comps: DataFrame) -> DataFrame:
