@@ -123,16 +123,16 @@ def _ingest_union(spark, sf_dir):
     from tierwell.sources.ingest import read_files
     from tierwell.sources.store import scratch_dir
     folder = scratch_dir(spark, "ingest")
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
-    head = {"n_nationkey": "Nation Key", "n_name": "Nation/Name", "n_regionkey": "Region Key"}
-    west = nation.filter(F.col("n_regionkey") < 2).select(
-        *[F.col(c).alias(head[c]) for c in ("n_nationkey", "n_name")])
-    east = nation.filter(F.col("n_regionkey") >= 2).select(
-        *[F.col(c).alias(head[c]) for c in ("n_nationkey", "n_name", "n_regionkey")])
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    head = {"c_custkey": "Customer Key", "c_name": "Customer/Name", "c_nationkey": "Nation Key"}
+    west = customer.filter(F.col("c_nationkey") < 12).select(
+        *[F.col(c).alias(head[c]) for c in ("c_custkey", "c_name")])
+    east = customer.filter(F.col("c_nationkey") >= 12).select(
+        *[F.col(c).alias(head[c]) for c in ("c_custkey", "c_name", "c_nationkey")])
     west.write.option("header", "true").csv(f"{folder}/file1")
     east.write.option("header", "true").csv(f"{folder}/file2")
     return read_files(spark, f"{folder}/*/*.csv", "csv").select(
-        "nation_key", "nation_name", "region_key")
+        "customer_key", "customer_name", "nation_key")
 
 
 def _strip_citations(spark, sf_dir):
@@ -144,14 +144,14 @@ def _strip_citations(spark, sf_dir):
 
 def _html_tables(spark, sf_dir):
     from tierwell.sources.html_tables import extract_tables
-    t = extract_tables(fx.nation_pages(spark, sf_dir))
+    t = extract_tables(fx.customer_pages(spark, sf_dir))
     return t.select("page_id", "table_no", "row_no", "is_header",
                     F.array_join("cells", "|").alias("cells"))
 
 
 def _reference_list(spark, sf_dir):
     from tierwell.sources.html_tables import extract_tables, reference_list
-    return reference_list(extract_tables(fx.nation_pages(spark, sf_dir)))
+    return reference_list(extract_tables(fx.customer_pages(spark, sf_dir)))
 
 
 def _rejects_two_batches(spark, sf_dir):
@@ -238,14 +238,14 @@ def _ingest_xlsx(spark, sf_dir):
 def _reference_list_saved(spark, sf_dir):
     from tierwell.sources.html_tables import extract_tables, reference_list
     from tierwell.sources.store import load_layer, scratch_dir
-    return load_layer(reference_list(extract_tables(fx.nation_pages(spark, sf_dir))), "currency",
+    return load_layer(reference_list(extract_tables(fx.customer_pages(spark, sf_dir))), "currency",
                       scratch_dir(spark, "layer"))
 
 
 def _table_copy_other_store(spark, sf_dir):
     from tierwell.sources.copy import copy_tables
     from tierwell.sources.store import scratch_dir
-    return copy_tables(spark, ["region", "nation"], sf_dir, scratch_dir(spark, "copy"), dst_fmt="csv",
+    return copy_tables(spark, ["customer", "orders"], sf_dir, scratch_dir(spark, "copy"), dst_fmt="csv",
                        dst_options={"header": "true", "sep": "|"})
 
 

@@ -245,39 +245,57 @@ def listed_currencies(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(CURRENCY_ROWS, specs.CURRENCY_SCHEMA)
 
 
+#: Customers on one page of the pages that grow with the data.
+PAGE_ROWS = 50
+
+
 def nation_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One HTML page per region built from ``nation`` (the driver pages have no tables).
+    """One HTML page per region built from ``nation`` (the currency list's source)."""
+    from pyspark.sql import functions as F
+    key = F.col("n_nationkey")
+    return _pages(spark.read.parquet(f"{sf_dir}/nation.parquet").select(
+        F.col("n_regionkey").cast("long").alias("page_id"), key.alias("key"),
+        F.concat(F.lit("N"), F.lpad(key.cast("string"), 2, "0")).alias("code"), F.col("n_name").alias("name")))
+
+
+def customer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One HTML page per ``PAGE_ROWS`` customers: pages that grow with the data."""
+    from pyspark.sql import functions as F
+    key = F.col("c_custkey")
+    return _pages(spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+        F.expr(f"c_custkey div {PAGE_ROWS}").cast("long").alias("page_id"), key.alias("key"),
+        F.concat(F.lit("C"), F.lpad(key.cast("string"), 9, "0")).alias("code"), F.col("c_name").alias("name")))
+
+
+def _pages(rows: DataFrame) -> DataFrame:
+    """HTML pages of (page_id, key, code, name); the driver's own pages have no tables.
 
     Table 1: code, number and English name with a citation marker, without any
     end tags of cells and rows, the code as a row header. Table 2: a two-level
     header over code, local and short name and a note, with spans; every fifth
-    nation has a nested table in its note; last a row without information.
+    row has a nested table in its note; last a row without information.
     """
     from pyspark.sql import functions as F
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
-    key = F.col("n_nationkey").cast("string")
-    code = F.concat(F.lit("N"), F.lpad(key, 2, "0"))
-    row1 = F.concat(F.lit("<tr><th scope=row>"), code, F.lit("<td>"), key, F.lit("<td>"), F.col("n_name"),
+    key, code = F.col("key").cast("string"), F.col("code")
+    row1 = F.concat(F.lit("<tr><th scope=row>"), code, F.lit("<td>"), key, F.lit("<td>"), F.col("name"),
                     F.lit(" ["), key, F.lit("]\n"))
-    note = F.when(F.col("n_nationkey") % 5 == 0,
+    note = F.when(F.col("key") % 5 == 0,
                   F.concat(F.lit("see <table><tr><td>inner "), code, F.lit("</td></tr></table>below"))) \
         .otherwise(F.lit("-"))
-    row2 = F.concat(F.lit("<tr><td>"), code, F.lit("</td><td>"), F.lower("n_name"), F.lit("</td><td>"),
-                    F.lower("n_name").substr(1, 3), F.lit("</td><td>"), note, F.lit("</td></tr>"))
-    rows = nation.select(F.col("n_regionkey").alias("page_id"), "n_nationkey",
-                         row1.alias("r1"), row2.alias("r2"))
-    # one page is one document: its rows (nations of a region) are gathered by key order
-    pages = rows.groupBy("page_id").agg(F.array_sort(F.collect_list(
-        F.struct("n_nationkey", "r1", "r2"))).alias("rs"))
+    row2 = F.concat(F.lit("<tr><td>"), code, F.lit("</td><td>"), F.lower("name"), F.lit("</td><td>"),
+                    F.lower("name").substr(1, 3), F.lit("</td><td>"), note, F.lit("</td></tr>"))
+    # one page is one document: its few rows are gathered by key order
+    pages = rows.select("page_id", "key", row1.alias("r1"), row2.alias("r2")).groupBy("page_id").agg(
+        F.array_sort(F.collect_list(F.struct("key", "r1", "r2"))).alias("rs"))
     html = F.concat(
-        F.lit("<html><body><h1>Region "), F.col("page_id").cast("string"), F.lit("</h1>"),
+        F.lit("<html><body><h1>Page "), F.col("page_id").cast("string"), F.lit("</h1>"),
         F.lit("<table><tr><th>Code<th>Num<th>Name"),
         F.array_join(F.col("rs.r1"), ""), F.lit("</table><p>Notes &amp; more</p>"),
         F.lit("<table><thead><tr><th rowspan=2>Code</th><th colspan=2>Names</th><th rowspan=2>Note</th></tr>"
               "<tr><th>Local</th><th>Short</th></tr></thead><tbody>"),
         F.array_join(F.col("rs.r2"), ""), F.lit("<tr><td colspan=4></td></tr></table>"),
         F.lit("</body></html>"))
-    return pages.select(F.col("page_id").cast("long").alias("page_id"), html.alias("html"))
+    return pages.select("page_id", html.alias("html"))
 
 
 # Batch 4 of the requests re-delivers them with edits: every tenth became of an
