@@ -270,6 +270,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id",
     table gives an empty result. Other columns are ignored. ``buckets``
     (default: twice the session's shuffle partitions, at least 96) is the
     number of groups of distinct words.
+    A very long text is read whole, by one task; nothing is cut off.
     """
     from pyspark.sql.pandas.types import to_arrow_type
     spark = docs.sparkSession

@@ -51,7 +51,10 @@ def _index_block(ids, texts) -> dict:
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 block_chars: int = 8_000_000) -> DataFrame:
-    """The positional index of every whole text; one row per block of documents."""
+    """The positional index of every whole text; one row per block of documents.
+
+    A very long text is read whole, by one task; nothing is cut off.
+    """
     from pyspark.sql.pandas.types import to_arrow_type
     rows = id_and_text(docs, id_col, text_col)
     id_type = rows.schema["doc_id"].dataType

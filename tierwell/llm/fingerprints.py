@@ -126,6 +126,7 @@ def compare_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ``doc_id, n_chars, edited, sketch, edited_sketch, near_edited, near_next``.
     Repeated rows follow each other and give a row each; an empty table gives
     an empty result; a lone document is its own successor.
+    A very long text is read whole, by one task; nothing is cut off.
     """
     rows, near = with_next(docs, id_col, text_col)
     half = F.floor(F.col("n_chars") / 2).cast("int")

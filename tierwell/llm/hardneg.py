@@ -326,6 +326,7 @@ def mine(rows: DataFrame, positives: int = 5, negatives: int = 10, low: int = 30
     counts each time; rows that share an anchor's id are none of its positives. A positive of
     negative score has no negatives; an anchor without positives, and an empty table, give no
     rows. Other columns are not read.
+    A very long vector is one row, held by one task.
     """
     usable = rows.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("long").alias("label"),
                          F.col(vector_col).cast("array<long>").alias("vector"),

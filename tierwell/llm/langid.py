@@ -304,6 +304,7 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
     rejected if their subwords are too unfamiliar to be of a learned language. Only the text is an
     input. Repeated rows and ids give a row each. With ``keep_columns`` the
     rows that are not rejected come back with exactly the input's columns.
+    A very long text is read whole, by one task; nothing is cut off.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     text_at = docs.columns.index(text_col) if keep_columns else 1

@@ -85,6 +85,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5,
     as one document and are treated alike; rows without an id are not counted
     and keep all their lines. With ``keep_columns`` the result has exactly the
     input's columns, with the new text. An empty table gives an empty result.
+    A very long text is read whole, by one task; nothing is cut off.
     """
     pairs = (id_and_text(docs, id_col, text_col).where("doc_id is not null")
              .mapInArrow(_explode(min_chars), T.StructType([

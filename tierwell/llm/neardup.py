@@ -342,6 +342,7 @@ def find_components(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     an id are linked with nothing, have no component and are kept. Repeated
     rows get the same component; a repeated id with another text is judged by
     that text. An empty table gives an empty result.
+    A very long text is read whole, by one task; nothing is cut off.
     """
     sets = checkpointed(document_sets(docs, shingle, id_col, text_col))
     classes = checkpointed(sets.where("s1 is not null").groupBy("s1", "s2").agg(

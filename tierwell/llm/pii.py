@@ -213,6 +213,7 @@ def replace_entities(docs: DataFrame, key: str, id_col: str = "doc_id", text_col
     repeat an id and text get the same result each; rows without an id are
     treated alike. An empty table gives an empty result. The same key gives
     the same surrogates on the same corpus.
+    A very long text is read whole, by one task; nothing is cut off.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     found = F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))

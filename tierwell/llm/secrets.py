@@ -189,6 +189,7 @@ def scan(index: DataFrame, rules: tuple[Rule, ...] = BASE + MORE) -> DataFrame:
     Matches of a rule are leftmost and do not overlap; spans are ordered by
     start, then by the rules' order. Null and empty texts have none. Repeated
     rows or ids give a row each; an empty table gives an empty result.
+    A very long text is read whole, by one task; nothing is cut off.
     """
     from pyspark.sql.pandas.types import to_arrow_type
     id_type = index.schema["ids"].dataType.elementType

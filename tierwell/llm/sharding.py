@@ -78,6 +78,7 @@ def shard(docs: DataFrame, n_shards: int = 8, id_col: str = "doc_id", text_col:
     gaps. Repeated rows, ties and null ids are placed like any others. An
     empty table gives an empty result. ``carry`` names further columns of the
     input that the records take along (for writing the shards).
+    A very long text is read whole, by one task; nothing is cut off.
     """
     keys, types = ["__key", "__id", "__no"], ["long", "long", "long"]
     text = F.coalesce(F.col(text_col), F.lit(""))

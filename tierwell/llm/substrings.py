@@ -291,6 +291,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     Null ids count as smallest, and rows that share an id as one place: a copy
     under the same id at the same place is not earlier, so both stay. An empty
     table gives an empty result; other columns are ignored.
+    A very long text is read whole, by one task; nothing is cut off.
     """
     spark = docs.sparkSession
     rows = id_and_text(docs, id_col, text_col)
