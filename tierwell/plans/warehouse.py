@@ -190,16 +190,32 @@ class Warehouse:
         return self._keep(history.load_history(
             self.ods_case, fx.stg_case_late(self.spark, self.sf_dir), specs.CASE, fx.BATCH_TS[4]))
 
+    @cached_property
+    def dims_second(self) -> dict[str, DataFrame]:
+        """The dimensions after the late batches: old members keep their ids, new ones get the next."""
+        ods = {**self.ods, "case": self.ods_case_late, "request": self.ods_request_late}
+        values, first = D.ColumnValues(ods, keep=self._keep), self.dims
+        enums = self._keep(D.enum_dims(values, self.enums))
+        out = {n: D.split_enum(enums, n) for n in D.ENUMS}
+        out["spr_client"] = self._keep(D.client_dim(ods["case"], first["spr_client"]))
+        out["spr_agent"] = self._keep(D.agent_dim(values, first["spr_agent"]))
+        out["spr_customer"] = self._keep(D.customer_dim(ods["address"], out["spr_client"], out["spr_customer_type"],
+                                                        out["spr_agent"], first["spr_customer"]))
+        out["spr_currency"] = self._keep(D.currency_dim(self.stg_currency, values, first["spr_currency"]))
+        out["spr_country"] = self._keep(D.country_dim(values, first["spr_country"]))
+        out["spr_city"] = self._keep(D.city_dim(values, out["spr_country"], first["spr_city"]))
+        return out
+
     @cached_property
     def fct_request_second(self) -> DataFrame:
         # loaded onto the facts before their blanking, so that it covers old rows too
-        loaded = facts.build_request_fact(self.ods_request_late, self.dims,
+        loaded = facts.build_request_fact(self.ods_request_late, self.dims_second,
                                           self._keep(self.fct_request_loaded))
-        return self._keep(facts.blank_rso(loaded, self.dims["spr_request_type"]))
+        return self._keep(facts.blank_rso(loaded, self.dims_second["spr_request_type"]))
 
     @cached_property
     def fct_case_second(self) -> DataFrame:
-        return facts.build_case_fact(self.ods_case_late, self.fct_request_second, self.dims,
+        return facts.build_case_fact(self.ods_case_late, self.fct_request_second, self.dims_second,
                                      self._keep(self.fct_case))
 
     # --- reports ----------------------------------------------------------
@@ -215,8 +231,8 @@ class Warehouse:
         from . import incremental
         feed = self._keep(incremental.row_changes(self.fct_request, self.fct_request_second, "request_number",
                                                   incremental.FEED))
-        return incremental.apply(self.pivot_state, feed, self.dims["spr_client"], self.dims["spr_act"],
-                                 self.stg_rso_plan)
+        return incremental.apply(self.pivot_state, feed, self.dims_second["spr_client"],
+                                 self.dims_second["spr_act"], self.stg_rso_plan)
 
     @cached_property
     def spine(self) -> DataFrame:

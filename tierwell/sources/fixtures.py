@@ -300,12 +300,16 @@ def _pages(rows: DataFrame) -> DataFrame:
 
 # Batch 4 of the requests re-delivers them with edits: every tenth became of an
 # excluded type (its fact row must stay as it was), every tenth has another
-# type and more nights, and every tenth comes under a second prefix that shares
-# the fact key of the old one and changed later.
+# type and more nights, every tenth comes under a second prefix that shares
+# the fact key of the old one and changed later, and every tenth has codes that no
+# dimension has yet.
 REQUEST_BATCH4_SQL = f"""
-select act, actual_response_date, assigned_to_agent, booking_channel, closed_issue_date,
-  commission_charged, commission_currency, confirmation_num, credit_card_brand,
-  customer_promise_date, event_city, event_city_other, event_country, event_end_date_time,
+select case when k%10=3 then 'Perhaps' else act end as act, actual_response_date,
+  case when k%10=3 then 'late.comer' else assigned_to_agent end as assigned_to_agent, booking_channel,
+  closed_issue_date, commission_charged,
+  case when k%10=3 then 'ARS' else commission_currency end as commission_currency, confirmation_num,
+  credit_card_brand, customer_promise_date, case when k%10=3 then 'ITA-Rome' else event_city end as event_city,
+  event_city_other, case when k%10=3 then 'SMR' else event_country end as event_country, event_end_date_time,
   event_start_date_time, follow_up_method, fulfillment_method, fulfillment_outcome,
   case when k%10=2 then 'GLC' || substr(global_request_number,4) else global_request_number end
        as global_request_number,
@@ -328,7 +332,7 @@ where batch = 1 and k%10 < 4
 CASE_BATCH4_SQL = f"""
 select case_date_added, case_address_id,
   case_date_changed + interval '2' day as case_date_changed,
-  case when k%10=1 then 'Closed' else case_status end as case_status,
+  case when k%10=1 then 'Closed' when k%10=3 then 'Escalated' else case_status end as case_status,
   client, closed_case_date, contact_method, contact_source, current_location,
   case when k%10=2 then 'later prefix' else current_phone end as current_phone,
   department,
