@@ -7,10 +7,12 @@ so a task's memory is bounded by one block plus its longest document.
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -85,6 +87,15 @@ def blocks(batches, limit: int = BLOCK_CHARS) -> Iterator[tuple[list, list[str]]
         yield ids, texts
 
 
+def release_memory() -> None:
+    """Give freed memory back: Spark keeps a task's Python process for the tasks that follow."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):        # another C library
+        pass
+
+
 def pack(values) -> bytes:
     """Unsigned 32-bit integers as byte planes under zstd."""
     a = np.ascontiguousarray(values, dtype="<u4")

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import id_and_text
+from .common import id_and_text, release_memory
 
 BUCKETS = 1 << 14
 ORDERS = (2, 3, 4)
@@ -330,6 +330,7 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
                     yield pa.RecordBatch.from_arrays(
                         [part.column(0), pa.array(lang), pa.array(score), pa.array(low)],
                         names=["doc_id", "lang_pred", "score", "rejected"])
+        release_memory()
 
     if keep_columns:
         return source.mapInArrow(run, docs.schema)

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import block_words, blocks, checkpointed, id_and_text, mix64, span_hashes
+from .common import block_words, blocks, checkpointed, id_and_text, mix64, release_memory, span_hashes
 from ..session import materialize
 
 #: Rows of a band and number of bands. A pair with similarity 0.8 shares no band
@@ -129,6 +129,7 @@ def document_sets(docs: DataFrame, shingle: int, id_col: str, text_col: str) ->
                  pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()),
                  pa.array([band_keys(s) if u else None for s, u in zip(sets, used)], pa.list_(pa.int64()))],
                 names=["doc_id", "n", "s1", "s2", "bands"])
+        release_memory()
 
     return rows.mapInArrow(run, T.StructType([
         rows.schema["doc_id"], T.StructField("n", T.LongType()), T.StructField("s1", T.LongType()),
@@ -149,6 +150,7 @@ def class_sets(docs: DataFrame, classes: DataFrame, shingle: int, id_col: str, t
                 [pa.array(ids, arrow_id), pa.array([k[0] for k in keys], pa.int64()),
                  pa.array([k[1] for k in keys], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
                 names=["cls", "s1", "s2", "hashes"])
+        release_memory()
 
     sets = rows.mapInArrow(run, T.StructType([
         T.StructField("cls", rows.schema["doc_id"].dataType), T.StructField("s1", T.LongType()),
