@@ -103,7 +103,7 @@ def main() -> None:
     # incremental: history of batches 1-2 prepared, batch 3 loaded touched-only
     stg = wh.stg_request
     valid = gate.valid_rows(stg, specs.REQUEST.required)
-    first = materialize(history.merge_history(
+    first = materialize(history.merge_stored(
         history.empty_ods(spark, specs.REQUEST),
         history.stamp(valid.filter(F.col("batch") < 3), specs.REQUEST, batch_clock()),
         specs.REQUEST))

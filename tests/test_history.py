@@ -108,3 +108,27 @@ def test_touched_only_load_equals_full_load(spark):
     full = history.load_history(first, third, spec, "2002-01-03 00:00:00")
     inc = history.load_history(first, third, spec, "2002-01-03 00:00:00", touched_only=True)
     assert full.exceptAll(inc).count() == 0 and inc.exceptAll(full).count() == 0
+
+
+def test_wide_rows_are_neither_shuffled_nor_sorted(spark):
+    # the columns that decide nothing stay in their buckets; equal rows, ties and redelivery as before
+    data = [(f"k{i % 40}", f"v{i % 7}", i % 3, dt.datetime(2001, 1, 1 + i % 2)) for i in range(400)] * 2
+    spec = _mini_spec()
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        ods = _load(spark, spec, [data])
+        got = rows(ods.select("k", "v", "extra", "ts", "is_active"))
+        plan = ods._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    versions = {}
+    for k, v, extra, ts in data:
+        versions[k, v, ts] = max(extra, versions.get((k, v, ts), extra))
+    best = {}
+    for (k, v, ts), extra in versions.items():
+        best[k] = max(best.get(k, (ts, v, extra)), (ts, v, extra))
+    assert got == sorted((k, v, extra, ts, int(best[k] == (ts, v, extra))) for (k, v, ts), extra in versions.items())
+    # the last join, on the buckets, has no exchange or sort above the wide scan
+    top = plan.split("== Initial Plan ==")[0].split("ShuffledHashJoin")[1]
+    assert "Exchange" not in top[:top.index("FileScan")] and "Sort " not in top[:top.index("FileScan")]
