@@ -43,3 +43,24 @@ def test_spine_and_plan_on_dates_alone(spark, wh):
     assert rows(got) == rows(wh.plan_days)
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_points_are_never_broadcast(spark):
+    # many points of one narrow column look small to Spark before they are repeated per level
+    points = spark.range(50000).select((F.col("id") % 1000).alias("at"))
+    few = spark.createDataFrame([("a", 0, 300), ("b", 250, 1000)], "name string, lo long, hi long")
+    many = spark.range(3000).select(F.col("id").cast("string").alias("name"), (F.col("id") % 900).alias("lo"),
+                                    (F.col("id") % 900 + 7).alias("hi"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for limit, intervals, kind in (("10m", few, "BroadcastHashJoin"), ("-1", few, "SortMergeJoin"),
+                                       ("1k", many, "SortMergeJoin")):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            got = interval_join(points, F.col("at"), intervals, F.col("lo"), F.col("hi"))
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            assert kind in plan and "BuildLeft" not in plan
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+        got = interval_join(points, F.col("at"), few, F.col("lo"), F.col("hi")).groupBy("name").count()
+        assert rows(got) == [("a", 15000), ("b", 37500)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
