@@ -74,6 +74,19 @@ def test_ids_equal_the_library():
     assert words.encode([])[1].tolist() == []
 
 
+def test_signs_and_cases_of_words():
+    # one part and one sign, in either case, among words whose lower case depends on what follows
+    signs = [chr(c) for c in range(0x80)] + ["ß", "Σ", "İ"]
+    texts = [f"{w}{s} ΑΣ{s}Α {w}ΑΣ" for w in ("Word", "x", "don'T", "naÏve") for s in signs] + [" ".join("Word" + s for s in signs)]
+    words = packing.WordIds(PATH, 2)
+    ids, sizes = words.encode(texts)
+    at = np.concatenate(([0], np.cumsum(sizes)))
+    assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == library_ids(texts)
+    # what is kept for a word is nothing that the garbage collector visits
+    import gc
+    assert not any(map(gc.is_tracked, words.parts.values()))
+
+
 @pytest.mark.parametrize("window", [16, 64, 512, 4096])
 def test_plan_covers_every_rank_with_little_padding(window):
     rnd = np.random.default_rng(window)

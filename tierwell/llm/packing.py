@@ -57,75 +57,97 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)]
 
 
+class _Codes(dict):
+    """Numbers of words in the order they came; the empty word, the end of a text, is 0."""
+
+    def __init__(self):
+        super().__init__({b"": 0})
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        code = self[word] = len(self)
+        self.new.append(word)
+        return code
+
+
 class WordIds:
     """Ids of words (text between ASCII white space), each distinct word encoded once.
 
     A text's ids are those of its words one after another: the vocabulary's
     split never crosses white space. Plain words are split here and their parts
     given to the vocabulary's model; all others go through the whole tokenizer.
+    Ids are kept as bytes (unsigned, 32 bits), which Python's garbage collector need not visit.
     """
 
     def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
         self.tokenizer, self.end_id = Tokenizer.from_file(path), end_id
         self.model, self.letters = self.tokenizer.model, _byte_letters()
-        self.parts: dict[str, list[int]] = {}
+        self.parts: dict[str, bytes] = {}
         self.clear()
 
     def clear(self):
-        self.codes: dict[bytes, int] = {}
+        self.codes = _Codes()
         self.flat, self.size = array("I", [self.end_id]), array("I", [1])
 
-    def _part(self, part: str) -> list[int]:
+    def _part(self, part: str) -> bytes:
         ids = self.parts.get(part)
         if ids is None:
             if len(self.parts) > WORD_CACHE:
                 self.parts.clear()
             # the letters of ASCII signs are the signs themselves
             letters = part if part.isascii() else "".join([self.letters[b] for b in part.encode()])
-            ids = self.parts[part] = [t.id for t in self.model.tokenize(letters)]
+            ids = self.parts[part] = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
         return ids
 
-    def learn(self, words) -> None:
-        """Encode the words that have no code yet."""
-        words = list(words)
+    def learn(self, words: list[bytes]) -> None:
+        """Encode the words that got a code last, in its order."""
+        if not words:
+            return
         out: list = [None] * len(words)
-        rest, known = [], self.parts.get
-        for i, w in enumerate(words):
-            text = w.decode()
-            if text.isalpha() and text.isascii():        # most words: one part
-                text = text.lower()
-                out[i] = known(text) or self._part(text)
-            elif "<|" not in text and _PLAIN.fullmatch(text):
-                out[i] = [x for p in _PARTS.findall(text.lower()) for x in known(p) or self._part(p)]
+        rest, known, part = [], self.parts.get, self._part
+        # words hold no line feed; lower case of a plain word is the same in a longer text
+        joined = b"\n".join(words).decode()
+        for i, (text, low) in enumerate(zip(joined.split("\n"), joined.lower().split("\n"))):
+            if text.isascii():
+                if text.isalpha():                       # most words: one part
+                    out[i] = known(low) or part(low)
+                    continue
+                head, sign = low[:-1], low[-1:]
+                if head.isalpha() and "!" <= sign <= "~" and not sign.isalnum():    # one part and one sign
+                    out[i] = (known(head) or part(head)) + (known(sign) or part(sign))
+                    continue
+            if "<|" not in text and _PLAIN.fullmatch(text):
+                out[i] = b"".join([known(p) or part(p) for p in _PARTS.findall(low)])
             else:
                 rest.append(i)
         for lo in range(0, len(rest), 5000):
             some = rest[lo:lo + 5000]
             done = self.tokenizer.encode_batch([words[i].decode() for i in some], add_special_tokens=False)
             for i, e in zip(some, done):
-                out[i] = e.ids
-        for w, ids in zip(words, out):
-            self.codes[w] = len(self.size)
-            self.size.append(len(ids))
-            self.flat.extend(ids)
+                out[i] = array("I", e.ids).tobytes()
+        self.size.extend([len(ids) // self.flat.itemsize for ids in out])
+        self.flat.frombytes(b"".join(out))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each closed by the end id; number of ids of each text)."""
         if len(self.codes) > WORD_CACHE:
             self.clear()
-        split = [t.encode().split() for t in texts]      # bytes.split: ASCII white space
-        self.learn({w for words in split for w in words}.difference(self.codes))
-        code = self.codes.__getitem__
-        seen = np.fromiter((c for words in split for c in (*map(code, words), 0)), np.int64,
-                           sum(map(len, split)) + len(split))
+        words, counts = [], []
+        for t in texts:
+            own = t.encode().split()                     # bytes.split: ASCII white space
+            words += own
+            words.append(b"")
+            counts.append(len(own) + 1)
+        seen = np.fromiter(map(self.codes.__getitem__, words), np.int64, len(words))
+        self.learn(self.codes.new)
+        self.codes.new = []
         pool, size = np.array(self.flat, np.uint32), np.array(self.size, np.int64)
         at = np.concatenate(([0], np.cumsum(size)))
         lens = size[seen]
         ends = np.cumsum(lens)
         ids = pool[np.repeat(at[seen] - (ends - lens), lens) + np.arange(int(ends[-1]) if len(ends) else 0)]
-        last = np.cumsum([len(words) + 1 for words in split]) - 1
-        stops = ends[last] if len(split) else np.empty(0, np.int64)
+        stops = ends[np.cumsum(counts) - 1] if counts else np.empty(0, np.int64)
         return ids, np.diff(np.concatenate(([0], stops)))
 
 
