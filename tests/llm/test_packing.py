@@ -87,6 +87,20 @@ def test_signs_and_cases_of_words():
     assert not any(map(gc.is_tracked, words.parts.values()))
 
 
+def test_room_of_a_block():
+    # lists of words are held for a piece of a block, not for the whole of it
+    import tracemalloc
+    texts = ["two words " * 1000] * 400
+    words = packing.WordIds(PATH, 2)
+    want = words.encode(texts[:1])[0].tolist()
+    tracemalloc.start()
+    ids, sizes = words.encode(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sizes.tolist() == [len(want)] * 400 and ids.tolist() == want * 400
+    assert peak < 50e6, peak
+
+
 @pytest.mark.parametrize("window", [16, 64, 512, 4096])
 def test_plan_covers_every_rank_with_little_padding(window):
     rnd = np.random.default_rng(window)

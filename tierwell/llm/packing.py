@@ -34,12 +34,13 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ..session import materialize
-from .common import blocks, colocated, id_and_text, pack as packed, unpack
+from .common import blocks, colocated, id_and_text, pack as packed, release_memory, unpack
 
 STEPS = 512                 # length steps that combinations are made of
 ITERATIONS = 400            # of the least-squares solver
 WORD_CACHE = 500_000        # distinct words that a task remembers
 BLOCK_CHARS = 4_000_000
+PIECE_CHARS = 1_000_000     # of a block that are split into words at a time (one longer text at least)
 
 
 # ------------------------------------------------------------------ token ids
@@ -133,6 +134,19 @@ class WordIds:
         """(ids of all texts, each closed by the end id; number of ids of each text)."""
         if len(self.codes) > WORD_CACHE:
             self.clear()
+        # lists of words take many times the room of their ids, so few are held at a time
+        done, some, size = [], [], 0
+        for t in texts:
+            some.append(t)
+            size += len(t)
+            if size >= PIECE_CHARS:
+                done.append(self._encode(some))
+                some, size = [], 0
+        if some or not done:
+            done.append(self._encode(some))
+        return np.concatenate([ids for ids, _ in done]), np.concatenate([n for _, n in done])
+
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         words, counts = [], []
         for t in texts:
             own = t.encode().split()                     # bytes.split: ASCII white space
@@ -140,15 +154,18 @@ class WordIds:
             words.append(b"")
             counts.append(len(own) + 1)
         seen = np.fromiter(map(self.codes.__getitem__, words), np.int64, len(words))
+        del words
         self.learn(self.codes.new)
         self.codes.new = []
-        pool, size = np.array(self.flat, np.uint32), np.array(self.size, np.int64)
-        at = np.concatenate(([0], np.cumsum(size)))
-        lens = size[seen]
+        # views, gone before the next words are added
+        pool, size = np.frombuffer(self.flat, np.uint32), np.frombuffer(self.size, np.uint32)
+        at = np.concatenate(([0], np.cumsum(size, dtype=np.int64)))
+        lens = size[seen].astype(np.int64)
         ends = np.cumsum(lens)
-        ids = pool[np.repeat(at[seen] - (ends - lens), lens) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        places = np.repeat(at[seen] - (ends - lens), lens)
+        places += np.arange(len(places))
         stops = ends[np.cumsum(counts) - 1] if counts else np.empty(0, np.int64)
-        return ids, np.diff(np.concatenate(([0], stops)))
+        return pool[places], np.diff(np.concatenate(([0], stops)))
 
 
 def token_blocks(docs: DataFrame, path: str, window: int, end_id: int, block_chars: int,
@@ -171,6 +188,9 @@ def token_blocks(docs: DataFrame, path: str, window: int, end_id: int, block_cha
                 pa.array([found.tolist()], pa.list_(pa.int32())), pa.array([often.tolist()], pa.list_(pa.int64()))],
                 names=["block", "ids", "counts", "data", "lengths", "often"])
             n += 1
+        # the task's process stays for other tasks: neither its words nor their room
+        words = ids = texts = tokens = None
+        release_memory()
 
     return rows.mapInArrow(run, T.StructType([
         T.StructField("block", T.LongType()), T.StructField("ids", T.ArrayType(id_type)),
@@ -391,7 +411,10 @@ def _emit(plan, window, id_type, with_ids):
                     rank[length] += 1
                 at += n
         columns = list(zip(*out)) if out else [[]] * len(names)
-        return pa.table([pa.array(c, t) for c, t in zip(columns, types)], schema=schema)
+        made_table = pa.table([pa.array(c, t) for c, t in zip(columns, types)], schema=schema)
+        out = columns = data = None
+        release_memory()
+        return made_table
     return run
 
 
