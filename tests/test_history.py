@@ -132,3 +132,31 @@ def test_wide_rows_are_neither_shuffled_nor_sorted(spark):
     # the last join, on the buckets, has no exchange or sort above the wide scan
     top = plan.split("== Initial Plan ==")[0].split("ShuffledHashJoin")[1]
     assert "Exchange" not in top[:top.index("FileScan")] and "Sort " not in top[:top.index("FileScan")]
+
+
+def test_touched_only_load_moves_no_row_of_the_history(spark):
+    # no broadcast by size; a key that passes the filter by chance and one without a key stay as they were
+    spec = _mini_spec()
+    day = lambda n: dt.datetime(2001, 1, n)
+    first = [(f"k{i % 50}", f"v{i % 3}", i, day(1 + i % 4)) for i in range(300)]
+    second = [(f"k{i}", "v9", i, day(9)) for i in range(0, 10)] + [("new", "v", 1, day(2))]
+    old, words = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), history.TOUCHED_WORDS
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        ods = history.materialize(_load(spark, spec, [first]))
+        unkeyed = history.materialize(ods.limit(1).withColumn("k", F.lit(None).cast("string")))
+        ods = history.materialize(ods.unionByName(unkeyed))
+        stg = spark.createDataFrame(second, spec.schema)
+        full = rows(history.load_history(ods.where("k is not null"), stg, spec, "2002-01-02 00:00:00"))
+        for n in (words, 1):
+            history.TOUCHED_WORDS = n
+            part = history.load_history(ods, stg, spec, "2002-01-02 00:00:00", touched_only=True)
+            plan = part._jdf.queryExecution().executedPlan().toString()
+            assert rows(part.where("k is not null")) == full
+            assert part.where("k is null").drop("k").collect() == unkeyed.drop("k").collect()
+            # the untouched branch: the history is scanned and given out; its keys meet the filter alone
+            top = plan.split("== Initial Plan ==")[0].split("ShuffledHashJoin")[0]
+            assert "LeftAnti" not in plan and "LeftSemi" not in plan and "hashpartitioning" not in top
+    finally:
+        history.TOUCHED_WORDS = words
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
