@@ -160,3 +160,31 @@ def test_touched_only_load_moves_no_row_of_the_history(spark):
     finally:
         history.TOUCHED_WORDS = words
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_snapshot_is_read_from_its_buckets(spark):
+    # rows and flags are stored side by side: a read joins them in place, nothing moves or is decided again
+    data = [(f"k{i % 40}", f"v{i % 7}", i % 3, dt.datetime(2001, 1, 1 + i % 2)) for i in range(400)]
+    spec = _mini_spec()
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        ods = _load(spark, spec, [data])
+        first, again = rows(ods), rows(ods.filter("is_active = 1"))
+        plan = ods._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "Exchange" not in plan and "Aggregate" not in plan and plan.count("FileScan") == 2
+    assert [r for r in first if r[-1] == 1] == again and len(again) == 40
+
+
+def test_keys_whose_versions_tie_and_null_keys(spark):
+    # ties on (effective_from, change timestamp), one of them decided by a column outside the key, and a null key
+    spec = _mini_spec()
+    spec = specs.EntitySpec(**{**spec.__dict__, "required": ("v",)})
+    at = dt.datetime(2001, 1, 1)
+    ods = _load(spark, spec, [[("a", "x", 1, at), ("a", "y", 1, at), ("b", "x", 2, at), (None, "p", 1, at), (None, "q", 1, at),
+                               ("c", "z", 1, None), ("c", "w", 5, at)]])
+    assert sorted((str(r.k), r.v) for r in ods.collect() if r.is_active) == [
+        ("None", "q"), ("a", "y"), ("b", "x"), ("c", "w")]
+    assert ods.count() == 7

@@ -166,3 +166,35 @@ def test_parallel_dimension_build_equals_lazy(spark):
     for name in ["spr_client", "spr_agent", "spr_customer", "spr_phone", "spr_email",
                  "spr_currency", "spr_country", "spr_city", "spr_act", "spr_status"]:
         assert rows(a[name]) == rows(b[name]), name
+
+
+def _kept_plans(monkeypatch, module):
+    """Plans of what ``module`` stores from here on."""
+    plans, keep = [], module.materialize
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return keep(df)
+    monkeypatch.setattr(module, "materialize", seen)
+    return plans
+
+
+def test_rows_without_a_colliding_key_are_dropped_before_they_move(spark, monkeypatch):
+    df = materialize(spark.range(1000).select(F.concat(F.lit("n"), F.col("id")).alias("name"),
+                                              (F.col("id") % 997).alias("k"), F.lit(1).alias("at")))
+    plans = _kept_plans(monkeypatch, merge)
+    out = merge.newest_of_colliding(df, {"_key": F.col("k")}, ["at", "name"])
+    assert out.count() == 997 and {"n997", "n998", "n999"} <= {r.name for r in out.collect()} and out.where("name = 'n1'").count() == 0
+    assert "_bits" in plans[-1]        # a Bloom filter of the colliding keys
+
+
+def test_client_reads_whole_rows_for_its_newest_only(spark, wh, monkeypatch):
+    want = rows(wh.dims["spr_client"])
+    plans, numbered = _kept_plans(monkeypatch, D), _kept_plans(monkeypatch, merge)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = rows(D.client_dim(wh.ods_case))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert got == want and len(plans) == 1 and "_bits" in numbered[-1]

@@ -114,3 +114,13 @@ def test_semi_join_input_is_deduplicated_first(wh):
     semi = p[p.index("LeftSemi"):]
     assert "HashAggregate" in semi
     assert SF_TINY
+
+
+def test_reports_do_not_store_the_fact(spark):
+    from tierwell.plans.warehouse import Warehouse
+    from conftest import rows
+    one, two = Warehouse(spark, SF_TINY), Warehouse(spark, SF_TINY)
+    two.fct_request                                     # noqa: B018  stored first
+    assert rows(one.metrics) == rows(two.metrics)
+    assert "fct_request" not in one.__dict__
+    assert one.fct_case.exceptAll(two.fct_case).count() == 0 and "fct_request" not in one.__dict__
