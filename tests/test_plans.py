@@ -124,3 +124,18 @@ def test_reports_do_not_store_the_fact(spark):
     assert rows(one.metrics) == rows(two.metrics)
     assert "fct_request" not in one.__dict__
     assert one.fct_case.exceptAll(two.fct_case).count() == 0 and "fct_request" not in one.__dict__
+
+
+def test_bucketed_rows_are_dealt_to_small_tasks(spark, monkeypatch):
+    # a task sorts its rows by bucket, and they are wider than what was shuffled
+    from pyspark.sql import DataFrameWriter
+    from tierwell import session
+    before, seen, save = spark.conf.get(session._TASK_BYTES), [], DataFrameWriter.saveAsTable
+
+    def watched(self, *args, **kw):
+        seen.append(spark.conf.get(session._TASK_BYTES))
+        return save(self, *args, **kw)
+    monkeypatch.setattr(DataFrameWriter, "saveAsTable", watched)
+    table = session.bucketed_table(spark.range(1000).repartition(3), ["id"])
+    assert seen == ["16m"] and spark.conf.get(session._TASK_BYTES) == before
+    assert table.count() == 1000 and "Exchange" not in plan_of(table.groupBy("id").count())
