@@ -142,3 +142,22 @@ def test_dropping_keeps_columns_of_any_name(spark):
     df = spark.createDataFrame([(1, "a b c", "x"), (2, "a b c", "y")], "doc_id long, text string, `__gone` string")
     kept = neardup.drop_near_duplicates(df, 2)
     assert kept.columns == df.columns and [tuple(r) for r in kept.collect()] == [(1, "a b c", "x")]
+
+
+def test_copies_of_a_salted_table_are_never_broadcast(spark):
+    from tierwell.operators.lookup import planned_bytes
+    from tierwell.session import materialize
+    rows = spark.range(400).selectExpr("id % 7 as bucket", "id as cls")
+    sizes = materialize(spark.range(6).selectExpr("id as bucket", "id + 1 as pieces"))
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before, limit = spark.conf.get(name), planned_bytes(sizes)
+    try:
+        for most, copies, broadcast in ((limit, False, True), (limit - 1, True, False)):
+            spark.conf.set(name, str(most))
+            out = neardup._salted(rows, sizes, "bucket")
+            assert sorted((r.bucket, r.cls, r.pieces) for r in out.collect()) == sorted(
+                (k % 7, k, k % 7 + 1) for k in range(400) if k % 7 < 6)
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            assert (("explode" in plan), ("BroadcastHashJoin" in plan)) == (copies, broadcast)
+    finally:
+        spark.conf.set(name, before)

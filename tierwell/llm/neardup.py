@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import block_words, blocks, checkpointed, id_and_text, mix64, release_memory, span_hashes
+from ..operators.lookup import broadcast_limit, planned_bytes
 from ..session import materialize
 
 #: Rows of a band and number of bands. A pair with similarity 0.8 shares no band
@@ -259,18 +260,25 @@ SALTS = 32
 
 
 def _salted(rows: DataFrame, sizes: DataFrame, key: str) -> DataFrame:
-    """``rows`` (with a class) joined with one row per ``key``; a hot key is spread over ``SALTS`` tasks."""
+    """``rows`` (with a class) joined with one row per ``key``; a hot key is spread over ``SALTS`` tasks.
+
+    ``sizes`` is stored, so Spark knows its bytes. Below its broadcast threshold it is joined as it is,
+    without salts: no row moves then. Spark's estimate does not see the copies of a salted table, so one
+    that has them is never broadcast.
+    """
+    if planned_bytes(sizes) <= broadcast_limit(rows.sparkSession):
+        return rows.join(sizes, key)
     left = rows.withColumn("_salt", F.pmod(F.xxhash64("cls"), F.lit(SALTS)).cast("int"))
     right = sizes.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return left.join(right, [key, "_salt"]).drop("_salt")
+    return left.join(right.hint("merge"), [key, "_salt"]).drop("_salt")
 
 
 def _outside(buckets: DataFrame, comps: DataFrame) -> DataFrame:
     """(bucket, cls, comp, home, first): members outside their bucket's home, and the home's first member there."""
     own = materialize(buckets.join(comps, "cls", "left").select("bucket", "cls", F.coalesce("comp", "cls").alias("comp")))
     tally = own.groupBy("bucket", "comp").agg(F.count("*").alias("n"), F.min("cls").alias("first"))
-    homes = (tally.groupBy("bucket").agg(F.max(F.struct("n", "comp", "first")).alias("h"), F.count("*").alias("k"))
-             .where("k > 1").select("bucket", F.col("h.comp").alias("home"), F.col("h.first").alias("first")))
+    homes = materialize(tally.groupBy("bucket").agg(F.max(F.struct("n", "comp", "first")).alias("h"), F.count("*").alias("k"))
+                        .where("k > 1").select("bucket", F.col("h.comp").alias("home"), F.col("h.first").alias("first")))
     return materialize(_salted(own, homes, "bucket").where("comp <> home"))
 
 
