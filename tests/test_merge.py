@@ -198,3 +198,14 @@ def test_client_reads_whole_rows_for_its_newest_only(spark, wh, monkeypatch):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert got == want and len(plans) == 1 and "_bits" in numbered[-1]
+
+
+def test_upsert_that_replaces_whole_rows_stores_keys_only(spark, monkeypatch):
+    dst = spark.createDataFrame([("A", "a", "x"), ("A", "a0", "x"), ("C", "c", "x"), (None, "n", "x")], SRC)
+    src = spark.createDataFrame([("A", "a2", None), ("B", "b", "y"), (None, "m", "y")], SRC)
+    stored, keep = [], merge.materialize
+    monkeypatch.setattr(merge, "materialize", lambda df: stored.append(df.columns) or keep(df))
+    out = merge.upsert(dst, src, ["code"], ["name", "note"], id_col=None, src_unique=True)
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(
+        [("A", "a2", None)] * 2 + [("C", "c", "x"), (None, "n", "x"), ("B", "b", "y"), (None, "m", "y")], key=str)
+    assert stored == [["_o_code", "_hit", "_n"]]

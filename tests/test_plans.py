@@ -139,3 +139,24 @@ def test_bucketed_rows_are_dealt_to_small_tasks(spark, monkeypatch):
     table = session.bucketed_table(spark.range(1000).repartition(3), ["id"])
     assert seen == ["16m"] and spark.conf.get(session._TASK_BYTES) == before
     assert table.count() == 1000 and "Exchange" not in plan_of(table.groupBy("id").count())
+
+
+def test_lookups_that_are_not_read_are_left_out(wh):
+    src = facts.request_fact_source(wh.ods_request, wh.dims)
+    lookups = lambda df: plan_of(df).count("BroadcastHashJoin LeftOuter")
+    # one join is that of the colliding keys
+    assert lookups(src) == len(facts.REQUEST_LOOKUPS) + 1
+    assert lookups(src.select("request_number")) == 1 and lookups(src.select("request_number", "spr_act_id")) == 2
+
+
+def test_second_load_does_not_store_the_facts(spark, monkeypatch):
+    from tierwell.plans import warehouse
+    stored, keep = [], warehouse.materialize
+
+    def seen(df):
+        stored.append(df.columns)
+        return keep(df)
+    monkeypatch.setattr(warehouse, "materialize", seen)
+    w = warehouse.Warehouse(spark, SF_TINY)
+    assert w.fct_request_second.count() > 0 and w.pivot_state_second.pivot.count() > 0
+    assert "fct_request" not in w.__dict__ and not any("request_details" in c and "spr_act_id" in c for c in stored)
