@@ -188,3 +188,29 @@ def test_keys_whose_versions_tie_and_null_keys(spark):
     assert sorted((str(r.k), r.v) for r in ods.collect() if r.is_active) == [
         ("None", "q"), ("a", "y"), ("b", "x"), ("c", "w")]
     assert ods.count() == 7
+
+
+def test_stored_load_equals_lazy_load_on_ties(spark, monkeypatch):
+    import random
+    rnd = random.Random(5)
+    days = [None, dt.datetime(2001, 1, 1), dt.datetime(2001, 1, 2)]
+    mini, ties = _mini_spec(), [("k", "v", "ts"), ("k", "v", "extra", "ts"), ("k", "v"), ("v", "ts")]
+    data = [(f"k{rnd.randrange(40)}", rnd.choice("ABC"), rnd.randrange(3), rnd.choice(days)) for _ in range(400)]
+    stg = spark.createDataFrame(data, mini.schema)
+    for dedupe in ties:
+        spec = specs.EntitySpec(name="ties", schema=mini.schema, required=("k",), dedupe=dedupe, key="k", change_ts="ts")
+        # some rows have no clock
+        at = F.when(F.col("extra") > 0, F.to_timestamp_ntz(F.concat(F.lit("2002-01-0"), F.col("extra"))))
+        stamped = history.stamp(stg, spec, at)
+        none = history.empty_ods(spark, spec)
+        cols = ["k", "v", "extra", "ts", "effective_from", "is_active"]
+        got = sorted(map(tuple, history.merge_stored(none, stamped, spec).select(*cols).collect()), key=str)
+        want = sorted(map(tuple, history.merge_history(none, stamped, spec).select(*cols).collect()), key=str)
+        assert got == want, dedupe
+
+
+def test_load_without_ties_does_not_look_for_them(spark, monkeypatch):
+    spec = _mini_spec()
+    monkeypatch.setattr(history, "maybe_in", lambda *a: 1 / 0)
+    a, b = ("k1", "A", 1, dt.datetime(2001, 1, 1)), ("k1", "B", 1, dt.datetime(2001, 1, 2))
+    assert rows(_load(spark, spec, [[a, b], [b]]), "v", "effective_from", "is_active") == [("A", T1, 0), ("B", T2, 1)]
